@@ -15,6 +15,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_lit(t: dt.datetime) -> Column:
+    """A timestamp-without-zone literal; independent of the session zone."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def login_key(login) -> Column:
     """Identity of an engineer: the login folded to lower case."""
     return F.lower(_col(login))
@@ -43,13 +48,13 @@ def in_window(ts, as_of: dt.datetime, days: int) -> Column:
     """``ts >= as_of - days`` (inclusive); ``days`` must be a valid window."""
     if days not in K.VALID_DAYS:
         raise ValueError(f"days must be one of {sorted(K.VALID_DAYS)}")
-    return _col(ts) >= F.lit(as_of - dt.timedelta(days=days))
+    return _col(ts) >= ts_lit(as_of - dt.timedelta(days=days))
 
 
 def since_second(ts, since: dt.datetime) -> Column:
     """Extraction window compared at whole-second precision: ISO strings
     compare equal-second values as not-earlier, whatever the fraction."""
-    return _col(ts) >= F.lit(since.replace(microsecond=0))
+    return _col(ts) >= ts_lit(since.replace(microsecond=0))
 
 
 def commit_type(message) -> Column:

@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from teampulse.functions.columns import ts_lit
+
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], *, seq_col: str = "_seq",
@@ -68,7 +70,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
         elif c in update_cols:
             out.append(F.when(in_batch, F.col("_i_" + c)).otherwise(F.col("_e_" + c)).alias(c))
         else:  # load stamp
-            now = F.lit(loaded_at) if loaded_at is not None else F.col("_i_" + c)
+            now = ts_lit(loaded_at) if loaded_at is not None else F.col("_i_" + c)
             out.append(F.when(in_batch, now).otherwise(F.col("_e_" + c)).alias(c))
     return j.select(*out)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse import constants as K
-from teampulse.functions import impact_score, week_start, weekly_score
+from teampulse.functions import impact_score, ts_lit, week_start, weekly_score
 from teampulse.operators.ranking import rank_desc
 from teampulse.operators.sides import on_side, stack_sides
 
@@ -72,7 +72,7 @@ def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
         "review_comments_given", "issues_closed", "avg_hours_to_close_issue",
         "impact_score", "score_from_prs", "score_from_catching_issues",
         "score_from_reviews", "score_from_issues", "score_from_commits",
-        "score_from_approvals", "impact_rank", F.lit(as_of).alias("computed_at"))
+        "score_from_approvals", "impact_rank", ts_lit(as_of).alias("computed_at"))
 
 
 def fct_engineer_weekly_trends(stg: dict[str, DataFrame]) -> DataFrame:

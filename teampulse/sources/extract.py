@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from teampulse import constants as K
 from teampulse import schemas
-from teampulse.functions import is_bot, since_second
+from teampulse.functions import is_bot, since_second, ts_lit
 from teampulse.operators.ranking import top_n_per_group
 
 
@@ -59,7 +59,7 @@ def extract_commits(landed: DataFrame, since: dt.datetime, repo: str | None = No
                      F.substring(d["commit"]["message"], 1, K.MESSAGE_MAX_CHARS).alias("message"),
                      committed.alias("committed_at"),
                      "repo")
-             .where(F.col("committed_at") >= F.lit(since)))
+             .where(F.col("committed_at") >= ts_lit(since)))
 
 
 def extract_merged_prs(landed: DataFrame, since: dt.datetime, repo: str | None = None,
@@ -113,7 +113,7 @@ def extract_closed_issues(landed: DataFrame, since: dt.datetime, repo: str | Non
     p = _parse(landed, schemas.ISSUE_PAYLOAD, repo)
     pr = d["pull_request"]
     is_pr = pr.isNotNull() & pr["url"].isNotNull()
-    return (p.where(_ts(d["updated_at"]) >= F.lit(since))
+    return (p.where(_ts(d["updated_at"]) >= ts_lit(since))
              .where(~is_pr)
              .where(_truthy(d["closed_at"]) & since_second(_ts(d["closed_at"]), since))
              .where(~is_bot(d["closed_by"], extra_bots))
@@ -128,7 +128,7 @@ def extract_closed_issues(landed: DataFrame, since: dt.datetime, repo: str | Non
 
 def tag_load(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Stamp rows with the load time (``extracted_at``)."""
-    return rows.withColumn("extracted_at", F.lit(loaded_at))
+    return rows.withColumn("extracted_at", ts_lit(loaded_at))
 
 
 # --- volume cap and review sample ------------------------------------------

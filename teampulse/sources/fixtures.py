@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from teampulse.functions.columns import ts_lit
+
 # --- fixed values: fixture clock and code lists -----------------------------
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 EXTRACTED_AT = dt.datetime(2024, 1, 31, 2, 0, 0)
@@ -64,7 +66,7 @@ def raw_commits(events: DataFrame) -> DataFrame:
                  F.lit("  ")).alias("message"),
         F.when(k == 77, F.lit(None)).otherwise(F.col("ts")).alias("committed_at"),
         "repo",
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
 
 
 def raw_pull_requests(events: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def raw_pull_requests(events: DataFrame) -> DataFrame:
         F.col("ts").alias("closed_at"),
         F.when(k % 11 == 0, F.lit(None).cast("int")).otherwise(k % 5).alias("review_comments"),
         (k % 12).alias("comments"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
 
 
 def raw_reviews(events: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def raw_reviews(events: DataFrame) -> DataFrame:
         F.lit("User").alias("reviewer_type"),
         _pick(REVIEW_STATES, F.col("k") % 4).alias("state"),
         F.col("ts").alias("submitted_at"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
 
 
 def raw_issues(events: DataFrame) -> DataFrame:
@@ -112,7 +114,7 @@ def raw_issues(events: DataFrame) -> DataFrame:
         F.when(k % 13 == 0, F.lit(None)).otherwise(_hours_before(F.col("ts"), k)).alias("created_at"),
         F.when(k == 50, F.lit(None)).otherwise(F.col("ts")).alias("closed_at"),
         F.col("ts").alias("updated_at"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
 
 
 def task_states(events: DataFrame) -> DataFrame:
@@ -263,7 +265,7 @@ def volume_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.lit("feat: "), F.col("l_returnflag")).alias("message"),
         F.col("l_shipdate").alias("committed_at"),
         repo(F.col("l_partkey")).alias("repo"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
     state = None
     for flag, st in RETURNFLAG_STATES:
         cond = F.col("l_returnflag") == flag
@@ -275,7 +277,7 @@ def volume_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit("User").alias("reviewer_type"),
         state.otherwise("COMMENTED").alias("state"),
         F.col("l_shipdate").alias("submitted_at"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
     od_n = od.crossJoin(F.broadcast(n_supp))
     person = eng(F.col("o_custkey") % F.col("_n"))
     prs = od_n.where(F.col("o_orderstatus").isin("O", "P")).select(
@@ -289,12 +291,12 @@ def volume_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("o_orderdate").alias("closed_at"),
         (F.col("o_orderkey") % 5).cast("int").alias("review_comments"),
         (F.col("o_custkey") % 7).cast("int").alias("comments"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"))
+        ts_lit(EXTRACTED_AT).alias("extracted_at"))
     issues = od_n.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").cast("int").alias("issue_number"),
         repo(F.col("o_orderkey")).alias("repo"),
         F.col("o_orderpriority").alias("title"), F.lit("closed").alias("state"),
         person.alias("closed_by_login"), F.lit("User").alias("closed_by_type"),
         F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("closed_at"),
-        F.col("o_orderdate").alias("updated_at"), F.lit(EXTRACTED_AT).alias("extracted_at"))
+        F.col("o_orderdate").alias("updated_at"), ts_lit(EXTRACTED_AT).alias("extracted_at"))
     return {"commits": commits, "pull_requests": prs, "reviews": reviews, "issues": issues}
