@@ -19,8 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_desc(df: DataFrame, by: Sequence[str], score: str, name: str = "rank") -> DataFrame:
+def rank_desc(df: DataFrame, by: Sequence[str], score: str, name: str = "rank",
+              materialize: bool = True) -> DataFrame:
+    """``materialize``: checkpoint ``df`` first (reliable, into the shared
+    ``spark.checkpoint.dir``) so the histogram and the join-back read the
+    stored rows instead of recomputing ``df``'s whole lineage twice."""
     by = list(by)
+    if materialize:
+        from teampulse.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     hist = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*by).orderBy(F.col(score).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
