@@ -1,8 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Each query is run once to warm up, then BENCH_RUNS
-times; the median is reported. Queries execute in full through the ``noop``
+BENCH_RUNS (default 5). Every query is run once to warm the JVM up, then
+each is timed BENCH_RUNS times; the median is reported. Queries execute in full through the ``noop``
 sink (nothing is collected to the driver).
 
 Two families: the event-derived activity tables (C5-C10 at the driver's
@@ -53,12 +53,14 @@ def run(df):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    n = int(os.environ.get("BENCH_RUNS", "3"))
+    n = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", max(cpus, 8), app_name="teampulse-bench",
                           extra={"spark.driver.memory": "8g"})
     times = {}
-    for name, build in headline(spark, sf_dir).items():
+    plans = headline(spark, sf_dir)
+    for build in plans.values():
         run(build())
+    for name, build in plans.items():
         samples = []
         for _ in range(n):
             t0 = time.perf_counter()
