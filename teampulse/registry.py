@@ -204,6 +204,13 @@ def queries() -> dict[str, Query]:
         q[f"leaderboard_{days}d"] = _leaderboard_days(days)
     for table in ("commits", "pull_requests", "reviews", "issues"):
         q[f"upsert_{table}"] = _upsert(table)
+    # the same plans on the orders/lineitem volume variant
+    q["vol_fct_engineer_impact"] = lambda s, d: marts.fct_engineer_impact(
+        staging.staging(FX.volume_tables(s, d)), FX.VOLUME_AS_OF)
+    q["vol_fct_engineer_weekly_trends"] = lambda s, d: marts.fct_engineer_weekly_trends(
+        staging.staging(FX.volume_tables(s, d)))
+    q["vol_leaderboard_90d"] = lambda s, d: reports.leaderboard(
+        FX.volume_tables(s, d), REPO, as_of=FX.VOLUME_AS_OF, days=90, limit=WINDOW_LIMIT)
     return q
 
 
