@@ -32,13 +32,23 @@ def _recent(df: DataFrame, repo: str, ts: str, as_of: dt.datetime, days: int) ->
 
 
 def leaderboard_activity(raw: dict[str, DataFrame], repo: str, as_of: dt.datetime,
-                         days: int) -> DataFrame:
+                         days: int, one_row_per_engineer: bool = False) -> DataFrame:
     """``combined`` of the leaderboard: commit side keyed (login, avatar),
-    PR/review/issue sides pivoted per login, then one full outer join."""
+    PR/review/issue sides pivoted per login, then one full outer join.
+
+    By default an engineer who committed with several avatar URLs appears once
+    per avatar, each row carrying the full PR/review/issue counts (the
+    reproduced behaviour). ``one_row_per_engineer=True`` keys the commit side
+    by login alone and shows the avatar of the engineer's latest commit."""
     c = _recent(raw["commits"], repo, "committed_at", as_of, days).where(F.col("author_login").isNotNull())
-    commits = c.groupBy(login_key("author_login").alias("engineer_login"), "author_avatar_url").agg(
-        F.count(F.lit(1)).alias("commits"),
-        F.countDistinct(F.to_date("committed_at")).alias("active_days"))
+    login = login_key("author_login").alias("engineer_login")
+    stats = [F.count(F.lit(1)).alias("commits"),
+             F.countDistinct(F.to_date("committed_at")).alias("active_days")]
+    if one_row_per_engineer:
+        latest = F.max_by("author_avatar_url", F.struct("committed_at", "sha")).alias("author_avatar_url")
+        commits = c.groupBy(login).agg(latest, *stats)
+    else:
+        commits = c.groupBy(login, "author_avatar_url").agg(*stats)
 
     p = _recent(raw["pull_requests"], repo, "merged_at", as_of, days).where(F.col("author_login").isNotNull())
     r = _recent(raw["reviews"], repo, "submitted_at", as_of, days).where(F.col("reviewer_login").isNotNull())
@@ -75,12 +85,12 @@ def leaderboard_activity(raw: dict[str, DataFrame], repo: str, as_of: dt.datetim
 
 def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
                 days: int = K.DEFAULT_DAYS, limit: int = K.DEFAULT_LIMIT,
-                with_position: bool = False) -> DataFrame:
+                with_position: bool = False, one_row_per_engineer: bool = False) -> DataFrame:
     """Top ``limit`` engineers of ``repo`` over the last ``days`` days, with
     RANK() over every qualifying engineer (ties share a rank, the next rank
     skips). Ties at the cut are broken by login, then avatar URL."""
     _check(days, limit)
-    scored = (leaderboard_activity(raw, repo, as_of, days)
+    scored = (leaderboard_activity(raw, repo, as_of, days, one_row_per_engineer)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR)
               .select("*", *score_columns()))
     return rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,

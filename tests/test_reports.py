@@ -47,6 +47,14 @@ def test_avatar_fan_out_and_issue_only(spark):
     assert rows == [("ann", "u1", 1, 2, 1), ("ann", "u2", 1, 2, 1)]
 
 
+def test_one_row_per_engineer_option(spark):
+    raw = _raw(spark, commits=[c("1", "Ann", "u1", T(2024, 1, 20)), c("2", "ann", "u2", T(2024, 1, 21))],
+               prs=[pr(1, "ANN", T(2024, 1, 20))])
+    lb = reports.leaderboard(raw, R, as_of=AS_OF, days=30, one_row_per_engineer=True).collect()
+    assert [(r.engineer_login, r.avatar_url, r.commits, r.active_days, r.prs_merged) for r in lb] == [
+        ("ann", "u2", 2, 2, 1)]
+
+
 def test_rank_ties_and_limit(spark):
     # T5: two tied at rank 1, next rank 3; limit cuts by login tie-break
     day = T(2024, 1, 28)
