@@ -101,15 +101,13 @@ def q_bot_filter(spark, sf_dir):
 
 def q_volume_cap(spark, sf_dir):
     def cap(kind, n, order, item):
-        landed = _landed(spark, sf_dir, kind)
-        kept = X.cap_newest(landed, n, order)
+        parsed = X.parse(_landed(spark, sf_dir, kind), kind)
+        kept = X.cap_newest(parsed, n, order)
         return kept.select(F.lit(kind).alias("kind"), "repo", item.alias("item_id"))
-    c = cap("commits", K.CAP_COMMITS, X.commit_order(),
-            F.from_json("value", schemas.COMMIT_PAYLOAD)["sha"])
-    p = cap("pull_requests", K.CAP_PRS, X.updated_order(schemas.PULL_PAYLOAD),
-            F.from_json("value", schemas.PULL_PAYLOAD)["number"].cast("string"))
-    i = cap("issues", K.CAP_ISSUES, X.updated_order(schemas.ISSUE_PAYLOAD),
-            F.from_json("value", schemas.ISSUE_PAYLOAD)["number"].cast("string"))
+    d = F.col("d")
+    c = cap("commits", K.CAP_COMMITS, X.commit_order(), d["sha"])
+    p = cap("pull_requests", K.CAP_PRS, X.updated_order(), d["number"].cast("string"))
+    i = cap("issues", K.CAP_ISSUES, X.updated_order(), d["number"].cast("string"))
     return c.unionByName(p).unionByName(i)
 
 

@@ -38,7 +38,15 @@ def _truthy(s: Column) -> Column:
     return s.isNotNull() & (s != "")
 
 
+def parse(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:
+    """Parse each document once: (repo, value, d). Extraction and the volume
+    cap accept the parsed frame and do not parse again."""
+    return _parse(landed, schemas.PAYLOADS[kind], repo)
+
+
 def _parse(df: DataFrame, schema, repo: str | None) -> DataFrame:
+    if "d" in df.columns:
+        return df if repo is None else df.withColumn("repo", F.lit(repo))
     repo_col = F.lit(repo) if repo is not None else F.col("repo")
     return df.select(repo_col.alias("repo"), F.col("value"),
                      F.from_json("value", schema).alias("d"))
@@ -133,20 +141,23 @@ def tag_load(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
 
 # --- volume cap and review sample ------------------------------------------
 
-def cap_newest(df: DataFrame, n: int, order: list[Column], per: tuple[str, ...] = ("repo",)) -> DataFrame:
-    """The first ``n`` documents per ``per`` group in service order (the
-    page cap), applied before any filter. ``order`` must be a total order."""
-    return top_n_per_group(df, per, order, n, "_pos").drop("_pos")
+def cap_newest(parsed: DataFrame, n: int, order: list[Column], per: tuple[str, ...] = ("repo",)) -> DataFrame:
+    """The first ``n`` parsed documents per ``per`` group in service order
+    (the page cap), applied before any filter. ``order`` must be a total
+    order (see ``commit_order`` / ``updated_order``)."""
+    return top_n_per_group(parsed, per, order, n, "_pos").drop("_pos")
 
 
-def commit_order(value: str = "value") -> list[Column]:
-    d = F.from_json(value, schemas.COMMIT_PAYLOAD)
+def commit_order() -> list[Column]:
+    """Commits service order: newest commit date first, then sha."""
+    d = F.col("d")
     return [_ts(d["commit"]["author"]["date"]).desc_nulls_last(), d["sha"].desc()]
 
 
-def updated_order(schema, number: str = "number", value: str = "value") -> list[Column]:
-    d = F.from_json(value, schema)
-    return [_ts(d["updated_at"]).desc_nulls_last(), d[number].desc()]
+def updated_order() -> list[Column]:
+    """PR / issue list order: most recently updated first, then number."""
+    d = F.col("d")
+    return [_ts(d["updated_at"]).desc_nulls_last(), d["number"].desc()]
 
 
 def sample_reviews(prs: DataFrame, reviews: DataFrame, n: int = K.REVIEW_SAMPLE) -> DataFrame:

@@ -85,8 +85,8 @@ def test_cap_before_filter_and_sample_after(spark):
     docs = [{"sha": f"{i:02d}", "author": {"login": "dependabot" if i >= 8 else "ann", "type": "User"},
              "commit": {"message": "m", "author": {"date": f"2024-01-{11 + i:02d}T00:00:00Z"}}}
             for i in range(10)]
-    landed = _landed(spark, docs)
-    capped = X.cap_newest(landed, 5, X.commit_order())
+    parsed = X.parse(_landed(spark, docs), "commits")
+    capped = X.cap_newest(parsed, 5, X.commit_order())
     got = sorted(r.sha for r in X.extract_commits(capped, SINCE).collect())
     assert got == ["05", "06", "07"]  # newest five are 05..09; 08 and 09 are bots
 
