@@ -60,19 +60,24 @@ def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
 
 
 def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
-                        floor: int = K.MART_ACTIVITY_FLOOR) -> DataFrame:
+                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = 0) -> DataFrame:
+    """``title_count`` > 0 adds ``recent_pr_titles`` (newest titles per
+    engineer and repo, bounded); the full list is ``pr_titles``."""
     combined = engineer_activity(stg)
     scored = (combined
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > floor)
               .select("*", *score_columns()))
     ranked = rank_desc(scored, ["repo"], "impact_score", "impact_rank")
-    return ranked.select(
+    out = ranked.select(
         "engineer_login", "repo", "commits", "active_days", "prs_merged",
         "avg_discussion_per_pr", "reviews", "approvals", "changes_requested",
         "review_comments_given", "issues_closed", "avg_hours_to_close_issue",
         "impact_score", "score_from_prs", "score_from_catching_issues",
         "score_from_reviews", "score_from_issues", "score_from_commits",
         "score_from_approvals", "impact_rank", ts_lit(as_of).alias("computed_at"))
+    if title_count:
+        out = with_titles(out, pr_titles(stg["pull_requests"]), GRAIN, title_count)
+    return out
 
 
 def fct_engineer_weekly_trends(stg: dict[str, DataFrame]) -> DataFrame:
@@ -101,6 +106,26 @@ def pr_titles(stg_prs: DataFrame) -> DataFrame:
         "engineer_login", "repo", "pr_number", "merged_at", "title")
 
 
+def title_arrays(titles: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
+    """``keys`` + ``recent_pr_titles``: array of the newest ``n`` titles
+    (merged_at desc, then pr_number desc). The top-n runs before any
+    collection (partial group limit before the shuffle), so each array holds
+    at most ``n`` values however active the engineer is."""
+    from teampulse.operators.ranking import top_n_per_group
+    top = top_n_per_group(titles.where(F.col("title").isNotNull()), keys,
+                          [F.col("merged_at").desc(), F.col("pr_number").desc()], n, "_pos")
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", "title")))
+    return top.groupBy(*keys).agg(F.transform(ordered, lambda x: x["title"]).alias("recent_pr_titles"))
+
+
+def with_titles(df: DataFrame, titles: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
+    """Attach ``recent_pr_titles`` (newest ``n``; empty array when none)."""
+    arr = title_arrays(titles, keys, n)
+    empty = F.array().cast("array<string>")
+    return (df.join(arr, list(keys), "left")
+              .withColumn("recent_pr_titles", F.coalesce(F.col("recent_pr_titles"), empty)))
+
+
 def recent_pr_titles(stg_prs: DataFrame, n: int = K.RECENT_TITLES) -> DataFrame:
     """Newest ``n`` titles per (engineer, repo) with their 1-based position."""
     from teampulse.operators.ranking import top_n_per_group

@@ -85,16 +85,26 @@ def leaderboard_activity(raw: dict[str, DataFrame], repo: str, as_of: dt.datetim
 
 def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
                 days: int = K.DEFAULT_DAYS, limit: int = K.DEFAULT_LIMIT,
-                with_position: bool = False, one_row_per_engineer: bool = False) -> DataFrame:
+                with_position: bool = False, one_row_per_engineer: bool = False,
+                title_count: int = 0) -> DataFrame:
     """Top ``limit`` engineers of ``repo`` over the last ``days`` days, with
     RANK() over every qualifying engineer (ties share a rank, the next rank
-    skips). Ties at the cut are broken by login, then avatar URL."""
+    skips). Ties at the cut are broken by login, then avatar URL.
+    ``title_count`` > 0 adds ``recent_pr_titles``: the newest raw (untrimmed)
+    titles of the engineer's PRs merged in the window, at most that many."""
     _check(days, limit)
     scored = (leaderboard_activity(raw, repo, as_of, days, one_row_per_engineer)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR)
               .select("*", *score_columns()))
-    return rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,
-                      "impact_rank", "position" if with_position else None)
+    top = rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,
+                     "impact_rank", "position" if with_position else None)
+    if title_count:
+        from teampulse.plans.marts import with_titles
+        prs = (_recent(raw["pull_requests"], repo, "merged_at", as_of, days)
+               .where(F.col("author_login").isNotNull())
+               .select(login_key("author_login").alias("engineer_login"), "pr_number", "merged_at", "title"))
+        top = with_titles(top, prs, ("engineer_login",), title_count)
+    return top
 
 
 def _engineer_weeks(raw: dict[str, DataFrame], login: str, repo: str, as_of: dt.datetime,

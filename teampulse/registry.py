@@ -202,6 +202,14 @@ def queries() -> dict[str, Query]:
         q[f"leaderboard_{days}d"] = _leaderboard_days(days)
     for table in ("commits", "pull_requests", "reviews", "issues"):
         q[f"upsert_{table}"] = _upsert(table)
+    q["leaderboard_recent_titles"] = lambda s, d: reports.leaderboard(
+        _raw(s, d), REPO, as_of=AS_OF, days=BOARD_DAYS, limit=BOARD_LIMIT, title_count=K.RECENT_TITLES,
+    ).select("engineer_login", "avatar_url", "impact_rank",
+             F.array_join("recent_pr_titles", "|").alias("recent_pr_titles"))
+    q["fct_engineer_impact_titles"] = lambda s, d: marts.fct_engineer_impact(
+        _stg(s, d), AS_OF, title_count=K.RECENT_TITLES,
+    ).select("engineer_login", "repo", "impact_rank",
+             F.array_join("recent_pr_titles", "|").alias("recent_pr_titles"))
     # the same plans on the orders/lineitem volume variant
     q["vol_fct_engineer_impact"] = lambda s, d: marts.fct_engineer_impact(
         staging.staging(FX.volume_tables(s, d)), FX.VOLUME_AS_OF)
