@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from teampulse.llm import iforest, minhash, simhash
+from teampulse.llm import bpe, iforest, minhash, packing, simhash, toxicity
 from teampulse.llm.frames import hex64, table
 
 
@@ -17,13 +17,26 @@ def op4_minhash_fingerprints(spark, sf_dir):
     return minhash.edit_probe(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.encoded(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_neardup(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op4_minhash_fingerprints, op10_simhash_neardup)}
+    return {f.__name__: f for f in (op1_quality_rules, op4_minhash_fingerprints, op6_byte_bpe, op8_toxicity,
+                                   op9_packing, op10_simhash_neardup)}
 
 
 def oracle_sql() -> dict:

@@ -74,13 +74,15 @@ def slices(offsets, limit: int = SLICE_BYTES):
         i = j
 
 
-def words(data, offsets):
-    """Starts and ends of words, and the number of the first word of each row (one more at the end)."""
+def words(data, offsets, space=SPACE):
+    """Starts and ends of words, and the number of the first word of each row (one more at the end).
+
+    space: a flag for each byte value, true for bytes between words."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0], before[1:] = False, inside[:-1]
     after[-1], after[:-1] = False, inside[1:]
