@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, iforest, minhash, packing, simhash, toxicity
+from teampulse.llm import bpe, iforest, licenses, lm, minhash, packing, simhash, toxicity
 from teampulse.llm.frames import hex64, table
 
 
@@ -13,6 +13,14 @@ def op1_quality_rules(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), *iforest.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_license_scan(spark, sf_dir):
+    return licenses.license_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_fingerprints(spark, sf_dir):
     return minhash.edit_probe(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_simhash_neardup(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op4_minhash_fingerprints, op6_byte_bpe, op8_toxicity,
+    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_license_scan, op4_minhash_fingerprints, op6_byte_bpe, op8_toxicity,
                                    op9_packing, op10_simhash_neardup)}
 
 
