@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, iforest, licenses, lm, minhash, packing, simhash, toxicity
+from teampulse.llm import bpe, html, iforest, licenses, lm, minhash, packing, simhash, suffix, toxicity
 from teampulse.llm.frames import hex64, table
 
 
@@ -25,10 +26,18 @@ def op4_minhash_fingerprints(spark, sf_dir):
     return minhash.edit_probe(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark, sf_dir):
+    return suffix.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encoded(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark, sf_dir):
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,10 +51,15 @@ def op10_simhash_neardup(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_license_scan, op4_minhash_fingerprints, op6_byte_bpe, op8_toxicity,
+    return {f.__name__: f for f in (pipeline, op1_quality_rules, op2_lm_scoring, op3_license_scan, op4_minhash_fingerprints, op5_suffix_array_dedup, op6_byte_bpe, op7_html_extraction, op8_toxicity,
                                    op9_packing, op10_simhash_neardup)}
 
 
 def oracle_sql() -> dict:
+    """None: every query hashes, fits a model, tokenises or reads HTML. tests/llm holds them against brute force."""
     return {}
