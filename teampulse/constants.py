@@ -15,20 +15,15 @@ W_APPROVALS = 1
 VALID_DAYS = (7, 15, 30, 60, 90)
 DEFAULT_DAYS = 90
 DEFAULT_LIMIT = 10
-MAX_LIMIT = 20
+MAX_LIMIT = 20               # of the paged board only; a board without limit is whole
 HISTORY_DAYS = 90            # extraction look-back
-MESSAGE_MAX_CHARS = 500      # commit message truncation
-CAP_COMMITS = 500            # 5 pages x 100
-CAP_PRS = 500                # 5 pages x 100
-CAP_ISSUES = 300             # 3 pages x 100
-REVIEW_SAMPLE = 50           # PRs whose reviews are fetched
 
 # --- fixed values: bot accounts ---------------------------------------------
-# Generic automation accounts. A deployment adds its own organisation bot
-# through the ``extra_bots`` argument of ``is_bot``.
+# A deployment adds accounts of its own through ``is_bot(extra_bots=...)``.
 BOT_LOGINS = (
     "dependabot",
     "dependabot[bot]",
+    "posthog-bot",
     "github-actions[bot]",
     "renovate[bot]",
     "codecov[bot]",
@@ -141,4 +136,12 @@ TREND_SERIES = (
     ("Commits", "commits"),
 )
 PODIUM_SIZE = 3
-RECENT_TITLES = 3
+RECENT_TITLES = 3            # newest titles shown beside a name
+
+# --- fixed values: update columns of the keyed upserts ----------------------
+UPDATE_COLS = {
+    "commits": ("author_login", "author_avatar_url"),
+    "pull_requests": ("title", "state", "merged_at", "closed_at", "review_comments", "comments"),
+    "reviews": ("reviewer_type",),
+    "issues": ("state", "closed_by_login", "closed_at", "updated_at"),
+}

@@ -81,6 +81,16 @@ def hours_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(3.6e9)
 
 
+def elapsed_micros(start, end) -> Column:
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+
+
+def mean_hours(micros) -> Column:
+    """Mean of elapsed microseconds in hours: whole numbers are summed and
+    divided once, so the order of the rows does not matter."""
+    return F.try_divide(F.sum(_col(micros)), F.count(_col(micros))) / F.lit(3.6e9)
+
+
 def week_start(ts) -> Column:
     """Monday 00:00 of the ISO week holding ``ts`` (timestamp without zone)."""
     d = F.to_date(_col(ts))

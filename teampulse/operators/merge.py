@@ -10,13 +10,14 @@ Statement-by-statement semantics of a batch sent in order:
   overwrite, never ``coalesce(new, old)``);
 * the load stamp column is set to the load time on every touched row.
 
-Plan: one aggregation of the batch by key (``min_by``/``max_by`` on the batch
-sequence; partial aggregation before the shuffle) and one full outer join with
-the stored table on the key. Keys are unique on both sides after the
-aggregation, so the join is 1:1 and cannot fan out. When the stored table is
-bucketed or partitioned on the key the stored side is not reshuffled; with
-``scope`` set, only the stored partitions the batch touches are read and
-returned, so a dynamic-overwrite write replaces just those partitions.
+The batch numbers its rows in ``seq_col`` (an integer, unique within a key).
+
+Plan: one hash aggregation of the batch by key (smallest and largest number;
+partial before the shuffle), joins that pick those two rows, and one full outer
+join with the stored table, all on the key. Keys are unique on both sides, so
+the last join is 1:1 and cannot fan out. With ``scope`` set, only the stored
+rows of the scopes that the batch touches are read and returned;
+``sources.raw.upsert_into`` does the same by key bucket, which fits any key.
 """
 
 from __future__ import annotations
@@ -46,11 +47,14 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     stamp = [stamp_col] if stamp_col and stamp_col in cols else []
     insert_cols = [c for c in cols if c not in keys and c not in update_cols and c not in stamp]
 
-    seq = F.col(seq_col)
-    batch = incoming.groupBy(*keys).agg(
-        *[F.min_by(c, seq).alias("_i_" + c) for c in insert_cols],
-        *[F.max_by(c, seq).alias("_i_" + c) for c in update_cols + stamp],
-        F.lit(True).alias("_in_batch"))
+    # the first and the last row of each key, found by its smallest and largest sequence number (hash aggregates of
+    # fixed-width values); equal numbers would make a row's place ambiguous, so a batch must number its rows
+    ends = incoming.groupBy(*keys).agg(F.min(seq_col).alias("_lo"), F.max(seq_col).alias("_hi"))
+    first = (incoming.join(ends, keys).where(F.col(seq_col) == F.col("_lo"))
+             .select(*keys, *[F.col(c).alias("_i_" + c) for c in insert_cols], F.lit(True).alias("_in_batch")))
+    last = (incoming.join(ends, keys).where(F.col(seq_col) == F.col("_hi"))
+            .select(*keys, *[F.col(c).alias("_i_" + c) for c in update_cols + stamp]))
+    batch = first.join(last, keys)
 
     stored = existing
     if scope:

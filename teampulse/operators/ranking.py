@@ -18,20 +18,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def rank_desc(df: DataFrame, by: Sequence[str], score: str, name: str = "rank",
-              materialize: bool = True) -> DataFrame:
-    """``materialize``: checkpoint ``df`` first (reliable, into the shared
-    ``spark.checkpoint.dir``) so the histogram and the join-back read the
-    stored rows instead of recomputing ``df``'s whole lineage twice."""
+              spread: Sequence[str] = ()) -> DataFrame:
+    """A plan only: nothing runs here. ``spread``: columns that are near-unique
+    in ``df``. The rows are dealt out by them once, and the histogram and the
+    join-back both read that exchange, so ``df`` is not computed twice."""
     by = list(by)
-    if materialize:
-        from teampulse.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
+    if spread:
+        df = df.repartition(*spread)
     hist = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*by).orderBy(F.col(score).desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w = ((Window.partitionBy(*by) if by else Window).orderBy(F.col(score).desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))  # without groups: over the distinct scores only
     ranks = hist.select(*by, score, (F.sum("_n").over(w) - F.col("_n") + 1).cast("long").alias(name))
     return df.join(ranks, by + [score], "inner")
 
@@ -52,7 +52,12 @@ def rank_top_k(df: DataFrame, score: str, tie_break: Sequence[str], k: int,
 
 def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int,
                     position_name: str = "pos") -> DataFrame:
+    """Spark limits groups before the shuffle up to the session's group-limit
+    threshold; it is raised to ``n`` here, so no ``n`` sends whole groups."""
     if n < 1:
         raise ValueError("n must be positive")
+    conf = df.sparkSession.conf
+    if int(conf.get(GROUP_LIMIT_CONF, "1000")) < n:
+        conf.set(GROUP_LIMIT_CONF, str(n))
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(position_name, F.row_number().over(w)).where(F.col(position_name) <= n)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teampulse.functions import week_start
+from teampulse.functions import elapsed_micros, mean_hours, week_start
 
 KEY = ("engineer_login", "repo")
 
@@ -27,7 +27,7 @@ def commits_agg(stg: DataFrame) -> DataFrame:
 
 def prs_agg(stg: DataFrame) -> DataFrame:
     """Counts per engineer and repo. The ordered title list of each group is
-    served unnested by ``recent_pr_titles`` instead of as one array value."""
+    served unnested by ``marts.ordered_pr_titles`` instead of as one array value."""
     return stg.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("prs_merged"),
         F.avg("total_discussion").alias("avg_discussion_per_pr"),
@@ -45,7 +45,7 @@ def reviews_agg(stg: DataFrame) -> DataFrame:
 def issues_agg(stg: DataFrame) -> DataFrame:
     return stg.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("issues_closed"),
-        F.avg("hours_to_close").alias("avg_hours_to_close"))
+        mean_hours(elapsed_micros("created_at", "closed_at")).alias("avg_hours_to_close"))
 
 
 def weekly_commits(stg: DataFrame) -> DataFrame:

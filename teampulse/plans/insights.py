@@ -1,7 +1,7 @@
 """Analytics derived from the leaderboard.
 
-Input is the leaderboard result (at most 20 rows, see ``leaderboard``):
-field-wide figures are one-row aggregates broadcast onto it. Thresholds are
+Input is a page of the leaderboard (at most 20 rows, see ``leaderboard_page``):
+field-wide figures are windows over it, so the board is computed once. Thresholds are
 doubles on purpose (``lit(1.2)`` is a double, a bare ``1.2`` in SQL is a
 decimal).
 """
@@ -29,9 +29,9 @@ def _chain(cases: list[tuple[Column, str]], default: str) -> Column:
 
 def profile_badge_relative(lb: DataFrame) -> DataFrame:
     """Badge against the averages of the rows shown."""
-    field = lb.agg((F.sum("prs_merged") / F.count(F.lit(1))).alias("_avg_prs"),
-                   (F.sum("reviews") / F.count(F.lit(1))).alias("_avg_reviews"))
-    x = lb.crossJoin(F.broadcast(field))
+    field = Window.partitionBy()  # the rows shown, at most a page
+    mean = lambda v: F.sum(v).over(field) / F.count(F.lit(1)).over(field)
+    x = lb.withColumns({"_avg_prs": mean("prs_merged"), "_avg_reviews": mean("reviews")})
     c = F.col
     high_ship = c("prs_merged") > c("_avg_prs") * _d(K.REL_SHIP_FACTOR)
     high_rev = c("reviews") > c("_avg_reviews") * _d(K.REL_REVIEW_FACTOR)
@@ -115,8 +115,7 @@ def _positions(lb: DataFrame) -> DataFrame:
 def podium(lb: DataFrame) -> DataFrame:
     """Positions 1-3 (dense, ties broken by order) when the board has
     at least three rows; ``slot`` is the display order 2-1-3."""
-    n = lb.agg(F.count(F.lit(1)).alias("_rows"))
-    p = _positions(lb).crossJoin(F.broadcast(n))
+    p = _positions(lb).withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
     slot = F.when(F.col("position") == 2, 1).when(F.col("position") == 1, 2).otherwise(3)
     return (p.where((F.col("_rows") >= K.PODIUM_SIZE) & (F.col("position") <= K.PODIUM_SIZE))
              .select(*ID, "impact_score", "impact_rank", F.col("position").cast("int"),
@@ -127,7 +126,7 @@ def team_insight(lb: DataFrame) -> DataFrame:
     """One row. Top shipper / reviewer are arg-max with the *later* row
     winning ties; the reviewer is blanked when it is the top shipper; the
     ship/review ratio is rounded half-up to one decimal and NULL when there
-    is no review activity."""
+    is no review activity. An empty board has totals 0."""
     p = _positions(lb)
     rev = F.col("reviews") + F.col("changes_requested")
     g = p.agg(
@@ -138,9 +137,9 @@ def team_insight(lb: DataFrame) -> DataFrame:
         F.max_by("engineer_login", F.struct(rev, F.col("position"))).alias("_top_reviewer"),
         F.max(rev).alias("_top_review_count"))
     same = F.col("_top_reviewer") == F.col("top_shipper")
+    g = g.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("total_shipping", "total_reviewing")})
     return g.select(
-        F.col("total_shipping").cast("long").alias("total_shipping"),
-        F.col("total_reviewing").cast("long").alias("total_reviewing"),
+        "total_shipping", "total_reviewing",
         F.when(F.col("total_reviewing") > 0,
                F.round(F.col("total_shipping") / F.col("total_reviewing").cast("double"), 1))
          .alias("ship_review_ratio"),

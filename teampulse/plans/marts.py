@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse import constants as K
-from teampulse.functions import impact_score, ts_lit, week_start, weekly_score
-from teampulse.operators.ranking import rank_desc
+from teampulse.functions import elapsed_micros, impact_score, mean_hours, ts_lit, week_start, weekly_score
+from teampulse.operators.ranking import rank_desc, top_n_per_group
 from teampulse.operators.sides import on_side, stack_sides
+from teampulse.sources.raw import write_mart
 
 GRAIN = ("engineer_login", "repo")
 
@@ -43,8 +44,8 @@ def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
         "r": stg["reviews"].select(*GRAIN, F.col("is_approval").alias("appr"),
                                    F.col("is_changes_requested").alias("chg"),
                                    F.col("is_comment").alias("cmt")),
-        "i": stg["issues"].select(*GRAIN, F.col("hours_to_close").alias("num")),
-    }, GRAIN, {"day": "date", "num": "double", "appr": "int", "chg": "int", "cmt": "int"})
+        "i": stg["issues"].select(*GRAIN, elapsed_micros("created_at", "closed_at").alias("micros")),
+    }, GRAIN, {"day": "date", "num": "double", "micros": "long", "appr": "int", "chg": "int", "cmt": "int"})
     zero = F.lit(0).cast("long")
     return u.groupBy(*GRAIN).agg(
         F.count(on_side("c")).alias("commits"),
@@ -56,18 +57,18 @@ def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
         F.coalesce(F.sum("chg").cast("long"), zero).alias("changes_requested"),
         F.coalesce(F.sum("cmt").cast("long"), zero).alias("review_comments_given"),
         F.count(on_side("i")).alias("issues_closed"),
-        F.coalesce(F.avg(on_side("i", F.col("num"))), F.lit(0.0)).alias("avg_hours_to_close_issue"))
+        F.coalesce(mean_hours("micros"), F.lit(0.0)).alias("avg_hours_to_close_issue"))
 
 
 def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
-                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = 0) -> DataFrame:
-    """``title_count`` > 0 adds ``recent_pr_titles`` (newest titles per
-    engineer and repo, bounded); the full list is ``pr_titles``."""
+                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = K.RECENT_TITLES) -> DataFrame:
+    """``recent_pr_titles`` holds the newest ``title_count`` titles per
+    engineer and repo (0: no such column); the full list is ``pr_titles``."""
     combined = engineer_activity(stg)
     scored = (combined
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > floor)
               .select("*", *score_columns()))
-    ranked = rank_desc(scored, ["repo"], "impact_score", "impact_rank")
+    ranked = rank_desc(scored, ["repo"], "impact_score", "impact_rank", spread=GRAIN)
     out = ranked.select(
         "engineer_login", "repo", "commits", "active_days", "prs_merged",
         "avg_discussion_per_pr", "reviews", "approvals", "changes_requested",
@@ -98,20 +99,30 @@ def fct_engineer_weekly_trends(stg: dict[str, DataFrame]) -> DataFrame:
                     .alias("weekly_impact_score"))
 
 
+def write_weekly_trends(trends: DataFrame, path: str) -> None:
+    """C6 as a table, rebuilt in full: partitioned by repo, sorted by engineer and week."""
+    write_mart(trends, path, sort_by=("engineer_login", "week_start"))
+
+
 def pr_titles(stg_prs: DataFrame) -> DataFrame:
-    """Every non-NULL title of each (engineer, repo) with its order keys
-    (newest merge first, then highest PR number): the title list unnested,
-    one row per title, so no group is ever collected into a single value."""
+    """Every non-NULL title of each (engineer, repo) with its order keys: the
+    title list unnested, one row per title, so no group is ever collected into
+    a single value. See ``ordered_pr_titles`` for the sorted list."""
     return stg_prs.where(F.col("title").isNotNull()).select(
         "engineer_login", "repo", "pr_number", "merged_at", "title")
 
 
+def ordered_pr_titles(stg_prs: DataFrame) -> DataFrame:
+    """The complete title lists: sorted by repo and engineer, each newest merge
+    first, then highest PR number (a range sort; a long list spans tasks)."""
+    return pr_titles(stg_prs).orderBy("repo", "engineer_login", F.col("merged_at").desc(), F.col("pr_number").desc())
+
+
 def title_arrays(titles: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
     """``keys`` + ``recent_pr_titles``: array of the newest ``n`` titles
     (merged_at desc, then pr_number desc). The top-n runs before any
     collection (partial group limit before the shuffle), so each array holds
     at most ``n`` values however active the engineer is."""
-    from teampulse.operators.ranking import top_n_per_group
     top = top_n_per_group(titles.where(F.col("title").isNotNull()), keys,
                           [F.col("merged_at").desc(), F.col("pr_number").desc()], n, "_pos")
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "title")))
@@ -128,7 +139,6 @@ def with_titles(df: DataFrame, titles: DataFrame, keys: tuple[str, ...], n: int)
 
 def recent_pr_titles(stg_prs: DataFrame, n: int = K.RECENT_TITLES) -> DataFrame:
     """Newest ``n`` titles per (engineer, repo) with their 1-based position."""
-    from teampulse.operators.ranking import top_n_per_group
     top = top_n_per_group(pr_titles(stg_prs), GRAIN,
                           [F.col("merged_at").desc(), F.col("pr_number").desc()], n, "title_pos")
     return top.select("engineer_login", "repo", F.col("title_pos").cast("int"), "title")

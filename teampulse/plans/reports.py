@@ -15,16 +15,16 @@ from pyspark.sql import functions as F
 
 from teampulse import constants as K
 from teampulse.functions import in_window, login_key, week_start, weekly_score
-from teampulse.operators.ranking import rank_top_k
+from teampulse.operators.ranking import rank_desc, rank_top_k
 from teampulse.operators.sides import on_side, stack_sides
-from teampulse.plans.marts import score_columns
+from teampulse.plans.marts import score_columns, with_titles
 
 
 def _check(days: int, limit: int | None = None) -> None:
     if days not in K.VALID_DAYS:
         raise ValueError(f"days must be one of {sorted(K.VALID_DAYS)}")
-    if limit is not None and not 0 <= limit <= K.MAX_LIMIT:
-        raise ValueError(f"limit must be between 0 and {K.MAX_LIMIT}")
+    if limit is not None and limit < 0:
+        raise ValueError("limit must not be negative")
 
 
 def _recent(df: DataFrame, repo: str, ts: str, as_of: dt.datetime, days: int) -> DataFrame:
@@ -84,22 +84,27 @@ def leaderboard_activity(raw: dict[str, DataFrame], repo: str, as_of: dt.datetim
 
 
 def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
-                days: int = K.DEFAULT_DAYS, limit: int = K.DEFAULT_LIMIT,
+                days: int = K.DEFAULT_DAYS, limit: int | None = K.DEFAULT_LIMIT,
                 with_position: bool = False, one_row_per_engineer: bool = False,
-                title_count: int = 0) -> DataFrame:
-    """Top ``limit`` engineers of ``repo`` over the last ``days`` days, with
-    RANK() over every qualifying engineer (ties share a rank, the next rank
-    skips). Ties at the cut are broken by login, then avatar URL.
-    ``title_count`` > 0 adds ``recent_pr_titles``: the newest raw (untrimmed)
-    titles of the engineer's PRs merged in the window, at most that many."""
+                title_count: int = K.RECENT_TITLES) -> DataFrame:
+    """Engineers of ``repo`` over the last ``days`` days, with RANK() over every
+    qualifying engineer (ties share a rank, the next rank skips): the first
+    ``limit``, or with None the whole board. Ties at the cut are broken by
+    login, then avatar URL. ``recent_pr_titles`` holds the newest
+    ``title_count`` raw (untrimmed) titles of the engineer's PRs merged in the
+    window (0: no such column)."""
     _check(days, limit)
     scored = (leaderboard_activity(raw, repo, as_of, days, one_row_per_engineer)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR)
               .select("*", *score_columns()))
-    top = rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,
-                     "impact_rank", "position" if with_position else None)
+    if limit is None:
+        if with_position:
+            raise ValueError("positions need a limit")
+        top = rank_desc(scored, [], "impact_score", "impact_rank", spread=("engineer_login", "avatar_url"))
+    else:
+        top = rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,
+                         "impact_rank", "position" if with_position else None)
     if title_count:
-        from teampulse.plans.marts import with_titles
         prs = (_recent(raw["pull_requests"], repo, "merged_at", as_of, days)
                .where(F.col("author_login").isNotNull())
                .select(login_key("author_login").alias("engineer_login"), "pr_number", "merged_at", "title"))
@@ -107,6 +112,13 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
     return top
 
 
+def leaderboard_page(raw: dict[str, DataFrame], repo: str, *, limit: int = K.DEFAULT_LIMIT, **options) -> DataFrame:
+    """The board as a page: ``limit`` is at most ``MAX_LIMIT``."""
+    if not 0 <= limit <= K.MAX_LIMIT:
+        raise ValueError(f"limit must be between 0 and {K.MAX_LIMIT}")
+    return leaderboard(raw, repo, limit=limit, **options)
+
+
 def _engineer_weeks(raw: dict[str, DataFrame], login: str, repo: str, as_of: dt.datetime,
                     days: int) -> DataFrame:
     who = login.lower()

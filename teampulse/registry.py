@@ -2,7 +2,7 @@
 driver's test tables (via ``sources.fixtures``) in full.
 
 ``queries()[name](spark, sf_dir) -> DataFrame``; the matching DuckDB SQL is in
-``teampulse.oracle``. Parameters are fixed here so both sides agree.
+``teampulse.oracle``, which states the parameters again.
 """
 
 from __future__ import annotations
@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 
 from teampulse import constants as K
 from teampulse import schemas
+from teampulse.functions import in_window, is_bot
 from teampulse.operators.merge import upsert
 from teampulse.plans import aggregates as A
 from teampulse.plans import insights as D
-from teampulse.plans import marts, reports, runs, staging
+from teampulse.plans import daily, marts, reports, runs, staging
 from teampulse.session import scratch_path
 from teampulse.sources import extract as X
 from teampulse.sources import fixtures as FX
 from teampulse.sources import raw as R
 
-# --- fixed query parameters (shared with the oracle) ------------------------
+# --- fixed query parameters ------------------------
 AS_OF = FX.AS_OF
 REPO = "org/repo0"
 SINCE = dt.datetime(2024, 1, 15, 12, 0, 0, 500000)
@@ -36,12 +37,7 @@ TREND_DAYS = 30
 SUMMARY_DAYS = 30
 FLAGSHIP_DAYS = 15
 
-UPDATE_COLS = {
-    "commits": ("author_login", "author_avatar_url"),
-    "pull_requests": ("title", "state", "merged_at", "closed_at", "review_comments", "comments"),
-    "reviews": ("reviewer_type",),
-    "issues": ("state", "closed_by_login", "closed_at", "updated_at"),
-}
+BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,9 +50,8 @@ def _stg(spark, sf_dir):
     return staging.staging(_raw(spark, sf_dir))
 
 
-def _board(spark, sf_dir, days=BOARD_DAYS, limit=BOARD_LIMIT, with_position=False):
-    return reports.leaderboard(_raw(spark, sf_dir), REPO, as_of=AS_OF, days=days, limit=limit,
-                               with_position=with_position)
+def _board(spark, sf_dir, days=BOARD_DAYS, limit=BOARD_LIMIT, titles=0):
+    return reports.leaderboard(_raw(spark, sf_dir), REPO, as_of=AS_OF, days=days, limit=limit, title_count=titles)
 
 
 def _trends(spark, sf_dir):
@@ -93,28 +88,46 @@ def q_extract_closed_issues(spark, sf_dir):
 
 
 def q_bot_filter(spark, sf_dir):
-    from teampulse.functions import is_bot
-    d = F.from_json("value", schemas.COMMIT_PAYLOAD)
-    return _landed(spark, sf_dir, "commits").select(
-        d["sha"].alias("sha"), "repo", is_bot(d["author"]).alias("is_bot"))
-
-
-def q_volume_cap(spark, sf_dir):
-    def cap(kind, n, order, item):
-        parsed = X.parse(_landed(spark, sf_dir, kind), kind)
-        kept = X.cap_newest(parsed, n, order)
-        return kept.select(F.lit(kind).alias("kind"), "repo", item.alias("item_id"))
     d = F.col("d")
-    c = cap("commits", K.CAP_COMMITS, X.commit_order(), d["sha"])
-    p = cap("pull_requests", K.CAP_PRS, X.updated_order(), d["number"].cast("string"))
-    i = cap("issues", K.CAP_ISSUES, X.updated_order(), d["number"].cast("string"))
-    return c.unionByName(p).unionByName(i)
+    return X.parse(_landed(spark, sf_dir, "commits"), "commits").select(
+        d["sha"].alias("sha"), "repo", is_bot(d["author"]).alias("is_bot"))
 
 
-def q_review_sample(spark, sf_dir):
+def q_merged_pr_reviews(spark, sf_dir):
     prs = X.extract_merged_prs(_landed(spark, sf_dir, "pull_requests"), SINCE)
     reviews = X.extract_reviews(_landed(spark, sf_dir, "reviews"))
-    return X.sample_reviews(prs, reviews, K.REVIEW_SAMPLE)
+    return X.reviews_of(prs, reviews)
+
+
+def q_tagged_load(spark, sf_dir):
+    rows = X.extract_closed_issues(_landed(spark, sf_dir, "issues"), SINCE)
+    return X.tag_load(rows, FX.RELOADED_AT)
+
+
+def q_unreadable_dates(spark, sf_dir):
+    parts = [X.unreadable_dates(X.parse(_landed(spark, sf_dir, kind), kind), kind).select(F.lit(kind).alias("kind"), "*")
+             for kind in X.DATES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- stored raw tables ------------------------------------------------------
+
+def q_raw_commits_stored(spark, sf_dir):
+    path = scratch_path(spark, "raw-commits")
+    R.write_table(_raw(spark, sf_dir)["commits"], path, sort_by=("committed_at",))
+    return R.read_raw(spark, path, "commits").where((F.col("repo") == REPO) & in_window("committed_at", AS_OF, BOARD_DAYS))
+
+
+def q_staging_views(spark, sf_dir):
+    staging.register_views(spark, _stg(spark, sf_dir))
+    return spark.sql("""
+        SELECT p.repo, p.engineer_login, count(*) AS reviewed_prs, count(DISTINCT r.engineer_login) AS reviewers
+        FROM stg_pull_requests p JOIN stg_reviews r ON r.repo = p.repo AND r.pr_number = p.pr_number
+        GROUP BY p.repo, p.engineer_login""")
+
+
+def q_required_trends(spark, sf_dir):
+    return reports.require_rows(_trends(spark, sf_dir), LOGIN)
 
 
 # --- upserts and sinks ------------------------------------------------------
@@ -124,26 +137,81 @@ def _upsert(table):
         raw = _raw(spark, sf_dir)[table]
         id_col, changed = FX.upsert_changes(table)
         existing, incoming = FX.upsert_batches(raw, id_col, changed)
-        return upsert(existing, incoming, schemas.KEYS[table], UPDATE_COLS[table],
+        return upsert(existing, incoming, schemas.KEYS[table], K.UPDATE_COLS[table],
                       seq_col="_seq", loaded_at=FX.RELOADED_AT)
     return q
 
 
+def q_upsert_commits_bucketed(spark, sf_dir):
+    """The same merge on a stored table laid out by key bucket."""
+    raw = _raw(spark, sf_dir)["commits"]
+    id_col, changed = FX.upsert_changes("commits")
+    existing, incoming = FX.upsert_batches(raw, id_col, changed)
+    path, batch = scratch_path(spark, "raw-bucketed"), scratch_path(spark, "batch")
+    R.write_bucketed(existing, path, schemas.KEYS["commits"], BUCKETS)
+    incoming.write.parquet(batch)
+    R.upsert_into(spark, path, "commits", spark.read.parquet(batch), buckets=BUCKETS, loaded_at=FX.RELOADED_AT)
+    return R.read_bucketed(spark, path, "commits")
+
+
+def _impact(df):
+    """The mart or board with its title array as one string (arrays compare badly across engines)."""
+    return df.withColumn("recent_pr_titles", F.array_join("recent_pr_titles", "|"))
+
+
 def q_mart_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "mart-impact")
     R.write_mart(marts.fct_engineer_impact(_stg(spark, sf_dir), AS_OF), path,
                  sort_by=("impact_rank",))
+    return _impact(spark.read.parquet(path))
+
+
+def q_mart_rebuild(spark, sf_dir):
+    """Two full builds; the second has no rows of one repo, which must leave the mart."""
+    path = scratch_path(spark, "mart-rebuild")
+    stg = _stg(spark, sf_dir)
+    R.write_mart(marts.fct_engineer_impact(stg, AS_OF), path)
+    fewer = {name: df.where(F.col("repo") != REPO) for name, df in stg.items()}
+    R.write_mart(marts.fct_engineer_impact(fewer, AS_OF), path)
+    return _impact(spark.read.parquet(path))
+
+
+def q_weekly_trends_table(spark, sf_dir):
+    path = scratch_path(spark, "mart-weekly")
+    marts.write_weekly_trends(marts.fct_engineer_weekly_trends(_stg(spark, sf_dir)), path)
     return spark.read.parquet(path)
 
 
 def q_pipeline_run_append(spark, sf_dir):
-    path = scratch_path(spark, "pipeline-runs")
-    rolled = _runs(spark, sf_dir)
+    """Two appends to the run log; the failed runs come without counts, which read 0."""
+    path, rolled_at = scratch_path(spark, "pipeline-runs"), scratch_path(spark, "rolled")
+    _runs(spark, sf_dir).write.parquet(rolled_at)
+    rolled = spark.read.parquet(rolled_at)
+    counts = [c for c, _ in K.COUNT_TASKS]
     R.append_run(rolled.where(F.col("status") == K.STATUS_SUCCESS), path)
-    R.append_run(rolled.where(F.col("status") != K.STATUS_SUCCESS), path)
+    R.append_run(rolled.where(F.col("status") != K.STATUS_SUCCESS)
+                 .withColumns({c: F.lit(None).cast("int") for c in counts}), path)
     return R.read_runs(spark, path)
 
 
+def _daily(spark, sf_dir):
+    store = scratch_path(spark, "daily")
+    landing = {}
+    for kind in X.KINDS:
+        landing[kind] = f"{store}/landing/{kind}"
+        X.land(_landed(spark, sf_dir, kind), landing[kind])
+    return daily.run(spark, landing, f"{store}/warehouse", since=SINCE, as_of=AS_OF, loaded_at=FX.RELOADED_AT,
+                     buckets=BUCKETS)
+
+
+def q_daily_pipeline(spark, sf_dir):
+    return _impact(spark.read.parquet(_daily(spark, sf_dir)["impact"]))
+
+
+def q_daily_pipeline_run(spark, sf_dir):
+    return R.read_runs(spark, _daily(spark, sf_dir)["runs"])
+
+
 # --- registry ---------------------------------------------------------------
 
 def _leaderboard_days(days):
@@ -158,9 +226,18 @@ def queries() -> dict[str, Query]:
         "extract_reviews": q_extract_reviews,
         "extract_closed_issues": q_extract_closed_issues,
         "bot_filter": q_bot_filter,
-        "volume_cap": q_volume_cap,
-        "review_sample": q_review_sample,
+        "merged_pr_reviews": q_merged_pr_reviews,
+        "tagged_load": q_tagged_load,
+        "unreadable_dates": q_unreadable_dates,
+        "raw_commits_stored": q_raw_commits_stored,
+        "staging_views": q_staging_views,
         "mart_roundtrip": q_mart_roundtrip,
+        "mart_rebuild": q_mart_rebuild,
+        "weekly_trends_table": q_weekly_trends_table,
+        "upsert_commits_bucketed": q_upsert_commits_bucketed,
+        "daily_pipeline": q_daily_pipeline,
+        "daily_pipeline_run": q_daily_pipeline_run,
+        "required_trends": q_required_trends,
         "pipeline_run_append": q_pipeline_run_append,
         # staging
         "stg_commits": lambda s, d: _stg(s, d)["commits"],
@@ -175,13 +252,14 @@ def queries() -> dict[str, Query]:
         "weekly_commits": lambda s, d: A.weekly_commits(_stg(s, d)["commits"]),
         "weekly_prs": lambda s, d: A.weekly_prs(_stg(s, d)["pull_requests"]),
         "weekly_reviews": lambda s, d: A.weekly_reviews(_stg(s, d)["reviews"]),
-        "recent_pr_titles": lambda s, d: marts.pr_titles(_stg(s, d)["pull_requests"]),
+        "recent_pr_titles": lambda s, d: marts.ordered_pr_titles(_stg(s, d)["pull_requests"]),
         "recent_pr_titles_top3": lambda s, d: marts.recent_pr_titles(_stg(s, d)["pull_requests"]),
         # marts
-        "fct_engineer_impact": lambda s, d: marts.fct_engineer_impact(_stg(s, d), AS_OF),
+        "fct_engineer_impact": lambda s, d: _impact(marts.fct_engineer_impact(_stg(s, d), AS_OF)),
         "fct_engineer_weekly_trends": lambda s, d: marts.fct_engineer_weekly_trends(_stg(s, d)),
         # reports
-        "leaderboard": lambda s, d: _board(s, d),
+        "leaderboard": lambda s, d: _impact(_board(s, d, titles=K.RECENT_TITLES)),
+        "leaderboard_full": lambda s, d: _board(s, d, limit=None),
         "engineer_trends": _trends,
         "week_spine": lambda s, d: reports.week_spine(_raw(s, d), LOGIN, REPO, as_of=AS_OF, days=TREND_DAYS),
         "team_summary": lambda s, d: reports.team_summary(_raw(s, d), REPO, as_of=AS_OF, days=SUMMARY_DAYS),
@@ -202,21 +280,17 @@ def queries() -> dict[str, Query]:
         q[f"leaderboard_{days}d"] = _leaderboard_days(days)
     for table in ("commits", "pull_requests", "reviews", "issues"):
         q[f"upsert_{table}"] = _upsert(table)
-    q["leaderboard_recent_titles"] = lambda s, d: reports.leaderboard(
-        _raw(s, d), REPO, as_of=AS_OF, days=BOARD_DAYS, limit=BOARD_LIMIT, title_count=K.RECENT_TITLES,
-    ).select("engineer_login", "avatar_url", "impact_rank",
-             F.array_join("recent_pr_titles", "|").alias("recent_pr_titles"))
-    q["fct_engineer_impact_titles"] = lambda s, d: marts.fct_engineer_impact(
-        _stg(s, d), AS_OF, title_count=K.RECENT_TITLES,
-    ).select("engineer_login", "repo", "impact_rank",
-             F.array_join("recent_pr_titles", "|").alias("recent_pr_titles"))
+    q["leaderboard_recent_titles"] = lambda s, d: _impact(_board(s, d, titles=K.RECENT_TITLES)).select(
+        "engineer_login", "avatar_url", "impact_rank", "recent_pr_titles")
+    q["fct_engineer_impact_titles"] = lambda s, d: _impact(marts.fct_engineer_impact(_stg(s, d), AS_OF)).select(
+        "engineer_login", "repo", "impact_rank", "recent_pr_titles")
     # the same plans on the orders/lineitem volume variant
     q["vol_fct_engineer_impact"] = lambda s, d: marts.fct_engineer_impact(
-        staging.staging(FX.volume_tables(s, d)), FX.VOLUME_AS_OF)
+        staging.staging(FX.volume_tables(s, d)), FX.VOLUME_AS_OF, title_count=0)
     q["vol_fct_engineer_weekly_trends"] = lambda s, d: marts.fct_engineer_weekly_trends(
         staging.staging(FX.volume_tables(s, d)))
     q["vol_leaderboard_90d"] = lambda s, d: reports.leaderboard(
-        FX.volume_tables(s, d), REPO, as_of=FX.VOLUME_AS_OF, days=90, limit=WINDOW_LIMIT)
+        FX.volume_tables(s, d), REPO, as_of=FX.VOLUME_AS_OF, days=90, limit=WINDOW_LIMIT, title_count=0)
     return q
 
 

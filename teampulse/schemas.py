@@ -1,7 +1,7 @@
 """Explicit schemas: raw tables and landed JSON payloads. Nothing is inferred."""
 
 from pyspark.sql.types import (
-    ArrayType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, IntegerType, LongType, MapType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
@@ -47,6 +47,13 @@ RAW = {
     "pipeline_runs": RAW_PIPELINE_RUNS,
 }
 
+
+
+def batch(table: str) -> StructType:
+    """Rows of a batch for a raw table: its columns and their landing order."""
+    return StructType(RAW[table].fields + [StructField("_seq", L, True)])
+
+
 # Upsert keys per raw table.
 KEYS = {
     "commits": ("sha",),
@@ -56,6 +63,15 @@ KEYS = {
 }
 
 # --- landed JSON payloads (fields that are read); dates stay ISO strings ----
+# A count whose key is absent from a document reads 0 (the existence default);
+# an explicit JSON null stays NULL.
+_ABSENT_IS_ZERO = {"CURRENT_DEFAULT": "0", "EXISTS_DEFAULT": "0"}
+
+
+def _counts(*names):
+    return [StructField(n, I, True, _ABSENT_IS_ZERO) for n in names]
+
+
 USER = _struct(("login", S), ("avatar_url", S), ("type", S))
 REVIEW_USER = _struct(("login", S), ("type", S))
 
@@ -63,10 +79,10 @@ COMMIT_PAYLOAD = _struct(
     ("sha", S), ("author", USER),
     ("commit", _struct(("message", S), ("author", _struct(("date", S))))))
 
-PULL_PAYLOAD = _struct(
+PULL_PAYLOAD = StructType(_struct(
     ("number", I), ("title", S), ("state", S), ("user", USER), ("merged_at", S),
-    ("created_at", S), ("closed_at", S), ("updated_at", S),
-    ("review_comments", I), ("comments", I))
+    ("created_at", S), ("closed_at", S), ("updated_at", S)).fields
+    + _counts("review_comments", "comments"))
 
 REVIEWS_PAYLOAD = _struct(
     ("pr_number", I),
@@ -74,7 +90,7 @@ REVIEWS_PAYLOAD = _struct(
 
 ISSUE_PAYLOAD = _struct(
     ("number", I), ("title", S), ("state", S),
-    ("pull_request", _struct(("url", S))), ("closed_by", REVIEW_USER),
+    ("pull_request", MapType(S, S)), ("closed_by", REVIEW_USER),
     ("created_at", S), ("closed_at", S), ("updated_at", S))
 
 PAYLOADS = {

@@ -15,16 +15,20 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "teampulse", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
+    """A session with SESSION_CONF. Master and shuffle partitions are those of
+    the submitting command unless the caller names them."""
+    builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -44,7 +48,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             or sc.getConf().get("spark.checkpoint.dir", None)
             or sc.getCheckpointDir())
     if not root:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster is a cluster
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="teampulse-ckpt-")
         try:

@@ -1,4 +1,4 @@
-"""Landed JSON payloads -> raw rows.
+"""Landed JSON payloads -> raw rows.
 
 Input: a frame with ``value`` (one JSON document per row, as read by
 ``read_landed``) and, unless a literal ``repo`` is given, a ``repo`` column
@@ -14,10 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teampulse import constants as K
 from teampulse import schemas
 from teampulse.functions import is_bot, since_second, ts_lit
-from teampulse.operators.ranking import top_n_per_group
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +28,16 @@ def land(payloads: DataFrame, path: str) -> None:
     payloads.select("repo", "value").write.mode("append").partitionBy("repo").text(path)
 
 
-def _ts(s: Column) -> Column:
-    return s.try_cast("timestamp_ntz")
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def instant(s: Column) -> Column:
+    """UTC wall time of an ISO string, whatever the session's zone. Its offset
+    counts; without one it is taken as UTC. NULL if it can't be read (see
+    ``unreadable_dates``)."""
+    zoned = F.when(s.rlike(r"([Zz]|[+-]\d{2}:?\d{2})\s*$"), s).otherwise(F.concat(s, F.lit("Z")))
+    micros = F.unix_micros(zoned.try_cast("timestamp"))
+    return ts_lit(_EPOCH) + F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)"))
 
 
 def _truthy(s: Column) -> Column:
@@ -39,34 +45,58 @@ def _truthy(s: Column) -> Column:
 
 
 def parse(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:
-    """Parse each document once: (repo, value, d). Extraction and the volume
-    cap accept the parsed frame and do not parse again."""
-    return _parse(landed, schemas.PAYLOADS[kind], repo)
+    """Parse each document once: (repo, d). The parse stands below a one-row
+    generator, which filters and projections above are not pushed through, so
+    no plan repeats it. A parsed frame is taken as it is."""
+    if "d" in landed.columns:
+        return landed if repo is None else landed.withColumn("repo", F.lit(repo))
+    repo_col = F.lit(repo) if repo is not None else F.col("repo")
+    order = [F.col("_seq")] if "_seq" in landed.columns else []
+    return landed.select(repo_col.alias("repo"), *order,
+                         F.explode(F.array(F.from_json("value", schemas.PAYLOADS[kind]))).alias("d"))
 
 
-def _parse(df: DataFrame, schema, repo: str | None) -> DataFrame:
-    if "d" in df.columns:
-        return df if repo is None else df.withColumn("repo", F.lit(repo))
-    repo_col = F.lit(repo) if repo is not None else F.col("repo")
-    return df.select(repo_col.alias("repo"), F.col("value"),
-                     F.from_json("value", schema).alias("d"))
+KINDS = ("commits", "pull_requests", "reviews", "issues")
+DATES = {
+    "commits": lambda d: [d["commit"]["author"]["date"]],
+    "pull_requests": lambda d: [d[c] for c in ("merged_at", "created_at", "closed_at", "updated_at")],
+    "issues": lambda d: [d[c] for c in ("created_at", "closed_at", "updated_at")],
+}
+
+
+def unreadable_dates(parsed: DataFrame, kind: str) -> DataFrame:
+    """One row: documents, and those with a date that is given but can't be
+    read (their rows fall out of every time window)."""
+    bad = [_truthy(s) & instant(s).isNull() for s in DATES[kind](F.col("d"))]
+    any_bad = bad[0]
+    for cond in bad[1:]:
+        any_bad = any_bad | cond
+    return parsed.agg(F.count(F.lit(1)).alias("documents"), F.count(F.when(any_bad, 1)).alias("unreadable"))
+
+
+def _order(df: DataFrame) -> list[str]:
+    """The landing order, where a load has put one."""
+    return ["_seq"] if "_seq" in df.columns else []
 
 
 def extract_commits(landed: DataFrame, since: dt.datetime, repo: str | None = None,
-                    extra_bots: tuple[str, ...] = ()) -> DataFrame:
-    """Non-bot commits dated at or after ``since``; message cut to 500
-    characters (code points)."""
+                    extra_bots: tuple[str, ...] = (), message_chars: int | None = None) -> DataFrame:
+    """Non-bot commits dated at or after ``since``, with the whole message
+    or its first ``message_chars`` characters (code points)."""
     d = F.col("d")
-    p = _parse(landed, schemas.COMMIT_PAYLOAD, repo)
-    committed = _ts(d["commit"]["author"]["date"])
+    p = parse(landed, "commits", repo)
+    committed = instant(d["commit"]["author"]["date"])
+    message = d["commit"]["message"]
+    if message_chars is not None:
+        message = F.substring(message, 1, message_chars)
     return (p.where(~is_bot(d["author"], extra_bots))
              .select(d["sha"].alias("sha"),
                      d["author"]["login"].alias("author_login"),
                      d["author"]["avatar_url"].alias("author_avatar_url"),
                      d["author"]["type"].alias("author_type"),
-                     F.substring(d["commit"]["message"], 1, K.MESSAGE_MAX_CHARS).alias("message"),
+                     message.alias("message"),
                      committed.alias("committed_at"),
-                     "repo")
+                     "repo", *_order(p))
              .where(F.col("committed_at") >= ts_lit(since)))
 
 
@@ -76,11 +106,9 @@ def extract_merged_prs(landed: DataFrame, since: dt.datetime, repo: str | None =
     seconds), non-bot author. A discussion count whose key is absent from the
     document reads 0; an explicit JSON null stays NULL."""
     d = F.col("d")
-    p = _parse(landed, schemas.PULL_PAYLOAD, repo)
-    keys = F.json_object_keys("value")
-    count = lambda k: F.when(F.array_contains(keys, k), d[k]).otherwise(F.lit(0))
+    p = parse(landed, "pull_requests", repo)
     return (p.where(_truthy(d["merged_at"]))
-             .where(since_second(_ts(d["merged_at"]), since))
+             .where(since_second(instant(d["merged_at"]), since))
              .where(~is_bot(d["user"], extra_bots))
              .select(d["number"].alias("pr_number"), "repo",
                      d["title"].alias("title"),
@@ -88,20 +116,20 @@ def extract_merged_prs(landed: DataFrame, since: dt.datetime, repo: str | None =
                      d["user"]["avatar_url"].alias("author_avatar_url"),
                      d["user"]["type"].alias("author_type"),
                      d["state"].alias("state"),
-                     _ts(d["merged_at"]).alias("merged_at"),
-                     _ts(d["created_at"]).alias("created_at"),
-                     _ts(d["closed_at"]).alias("closed_at"),
-                     count("review_comments").cast("int").alias("review_comments"),
-                     count("comments").cast("int").alias("comments"),
-                     _ts(d["updated_at"]).alias("updated_at")))
+                     instant(d["merged_at"]).alias("merged_at"),
+                     instant(d["created_at"]).alias("created_at"),
+                     instant(d["closed_at"]).alias("closed_at"),
+                     d["review_comments"].alias("review_comments"),
+                     d["comments"].alias("comments"),
+                     instant(d["updated_at"]).alias("updated_at"), *_order(p)))
 
 
 def extract_reviews(landed: DataFrame, repo: str | None = None,
                     extra_bots: tuple[str, ...] = ()) -> DataFrame:
     """S3: one row per (PR, review); bots and reviews without login,
     submission time or state are dropped."""
-    p = _parse(landed, schemas.REVIEWS_PAYLOAD, repo)
-    r = p.select("repo", F.col("d")["pr_number"].alias("pr_number"),
+    p = parse(landed, "reviews", repo)
+    r = p.select("repo", *_order(p), F.col("d")["pr_number"].alias("pr_number"),
                  F.explode(F.col("d")["reviews"]).alias("r"))
     rv = F.col("r")
     return (r.where(~is_bot(rv["user"], extra_bots))
@@ -110,7 +138,7 @@ def extract_reviews(landed: DataFrame, repo: str | None = None,
                      rv["user"]["login"].alias("reviewer_login"),
                      rv["user"]["type"].alias("reviewer_type"),
                      rv["state"].alias("state"),
-                     _ts(rv["submitted_at"]).alias("submitted_at")))
+                     instant(rv["submitted_at"]).alias("submitted_at"), *_order(p)))
 
 
 def extract_closed_issues(landed: DataFrame, since: dt.datetime, repo: str | None = None,
@@ -118,20 +146,19 @@ def extract_closed_issues(landed: DataFrame, since: dt.datetime, repo: str | Non
     """Issues updated at or after ``since`` that are not pull requests,
     closed at or after ``since`` (whole seconds), closed by a non-bot."""
     d = F.col("d")
-    p = _parse(landed, schemas.ISSUE_PAYLOAD, repo)
-    pr = d["pull_request"]
-    is_pr = pr.isNotNull() & pr["url"].isNotNull()
-    return (p.where(_ts(d["updated_at"]) >= ts_lit(since))
+    p = parse(landed, "issues", repo)
+    is_pr = F.coalesce(F.size(d["pull_request"]) > 0, F.lit(False))  # any non-empty object
+    return (p.where(instant(d["updated_at"]) >= ts_lit(since))
              .where(~is_pr)
-             .where(_truthy(d["closed_at"]) & since_second(_ts(d["closed_at"]), since))
+             .where(_truthy(d["closed_at"]) & since_second(instant(d["closed_at"]), since))
              .where(~is_bot(d["closed_by"], extra_bots))
              .select(d["number"].alias("issue_number"), "repo",
                      d["title"].alias("title"), d["state"].alias("state"),
                      d["closed_by"]["login"].alias("closed_by_login"),
                      d["closed_by"]["type"].alias("closed_by_type"),
-                     _ts(d["created_at"]).alias("created_at"),
-                     _ts(d["closed_at"]).alias("closed_at"),
-                     _ts(d["updated_at"]).alias("updated_at")))
+                     instant(d["created_at"]).alias("created_at"),
+                     instant(d["closed_at"]).alias("closed_at"),
+                     instant(d["updated_at"]).alias("updated_at"), *_order(p)))
 
 
 def tag_load(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
@@ -139,32 +166,6 @@ def tag_load(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return rows.withColumn("extracted_at", ts_lit(loaded_at))
 
 
-# --- volume cap and review sample ------------------------------------------
-
-def cap_newest(parsed: DataFrame, n: int, order: list[Column], per: tuple[str, ...] = ("repo",)) -> DataFrame:
-    """The first ``n`` parsed documents per ``per`` group in service order
-    (the page cap), applied before any filter. ``order`` must be a total
-    order (see ``commit_order`` / ``updated_order``)."""
-    return top_n_per_group(parsed, per, order, n, "_pos").drop("_pos")
-
-
-def commit_order() -> list[Column]:
-    """Commits service order: newest commit date first, then sha."""
-    d = F.col("d")
-    return [_ts(d["commit"]["author"]["date"]).desc_nulls_last(), d["sha"].desc()]
-
-
-def updated_order() -> list[Column]:
-    """PR / issue list order: most recently updated first, then number."""
-    d = F.col("d")
-    return [_ts(d["updated_at"]).desc_nulls_last(), d["number"].desc()]
-
-
-def sample_reviews(prs: DataFrame, reviews: DataFrame, n: int = K.REVIEW_SAMPLE) -> DataFrame:
-    """Reviews of the first ``n`` PRs per repo of the *filtered* PR
-    list in fetch order (updated desc). The sampled key set is at most
-    n x repos rows; AQE turns the semi join into a broadcast once its
-    measured size is under the broadcast threshold."""
-    first = top_n_per_group(prs, ["repo"], [F.col("updated_at").desc_nulls_last(),
-                                            F.col("pr_number").desc()], n, "_pos")
-    return reviews.join(first.select("repo", "pr_number"), ["repo", "pr_number"], "left_semi")
+def reviews_of(prs: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The reviews of all of ``prs`` (the filtered list)."""
+    return reviews.join(prs.select("repo", "pr_number").distinct(), ["repo", "pr_number"], "left_semi")

@@ -152,15 +152,17 @@ def upsert_batches(df: DataFrame, id_col: str, changed: dict[str, Column]) -> tu
     """Split a raw table into (existing, incoming).
 
     existing = rows whose id is below 60% of the largest id; incoming = rows
-    with even ids, each sent twice: ``_seq`` 0 as is, ``_seq`` 1 with the
-    ``changed`` column expressions applied.
+    with even ids and all rows from that id on, each sent twice: ``_seq`` 0 as
+    is, ``_seq`` 1 with the ``changed`` column expressions applied. Every row is
+    on one side at least.
     """
     idc = F.col(id_col).cast("long")
     cols = df.columns
-    existing = _with_cutoff(df, idc).where(idc < F.col("_cut")).select(*cols)
-    even = df.where(idc % 2 == 0)
-    first = even.select(*cols, F.lit(0).alias("_seq"))
-    second = even.select(*[changed.get(c, F.col(c)).alias(c) for c in cols], F.lit(1).alias("_seq"))
+    cut = _with_cutoff(df, idc)
+    existing = cut.where(idc < F.col("_cut")).select(*cols)
+    sent = cut.where((idc % 2 == 0) | (idc >= F.col("_cut")))
+    first = sent.select(*cols, F.lit(0).alias("_seq"))
+    second = sent.select(*[changed.get(c, F.col(c)).alias(c) for c in cols], F.lit(1).alias("_seq"))
     return existing, first.unionByName(second)
 
 
@@ -203,43 +205,63 @@ def _user(login: Column, avatar: Column | None, utype: Column) -> Column:
     return F.when(login.isNull(), F.lit(None)).otherwise(F.struct(*fields))
 
 
+def _iso_offset(ts: Column) -> Column:
+    """The same instant as a wall clock two hours ahead shows it."""
+    return F.date_format(F.timestamp_add("HOUR", F.lit(2), ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'")
+
+
 def commit_payloads(raw: DataFrame) -> DataFrame:
-    """One JSON document per commit, as the commits endpoint returns them."""
+    """One JSON document per commit, as the commits endpoint returns them. By
+    sha: 1 mod 29 has a ``[bot]`` login, 2 a listed bot's, 3 a long message, 4
+    an empty author object, 5 a date that can't be read, 6 a date with an offset."""
+    n = F.col("sha").cast("long") % 29
+    login = F.when(n == 1, "ci[bot]").when(n == 2, "posthog-bot").otherwise(F.col("author_login"))
+    user = F.when(n == 4, F.struct(F.lit(None).cast("string").alias("login"), F.lit(None).cast("string").alias("avatar_url"),
+                                   F.lit(None).cast("string").alias("type"))).otherwise(
+        _user(login, F.col("author_avatar_url"), F.when(n == 2, "User").otherwise(F.col("author_type"))))
+    date = F.when(n == 5, "yesterday").when(n == 6, _iso_offset(F.col("committed_at"))).otherwise(_iso(F.col("committed_at")))
+    message = F.when(n == 3, F.repeat(F.col("message"), 60)).otherwise(F.col("message"))
     doc = F.struct(
-        F.col("sha").alias("sha"),
-        _user(F.col("author_login"), F.col("author_avatar_url"), F.col("author_type")).alias("author"),
-        F.struct(F.col("message").alias("message"),
-                 F.struct(_iso(F.col("committed_at")).alias("date")).alias("author")).alias("commit"))
+        F.col("sha").alias("sha"), user.alias("author"),
+        F.struct(message.alias("message"), F.struct(date.alias("date")).alias("author")).alias("commit"))
     return raw.select("repo", F.to_json(doc).alias("value"))
 
 
 def pull_payloads(raw: DataFrame) -> DataFrame:
+    """PR documents. NULL fields of even numbers are explicit JSON nulls, those
+    of odd ones are absent; numbers 3 mod 23 have an empty ``merged_at``."""
     doc = F.struct(
         F.col("pr_number").alias("number"), F.col("title"), F.col("state"),
         _user(F.col("author_login"), F.col("author_avatar_url"), F.col("author_type")).alias("user"),
-        _iso(F.col("merged_at")).alias("merged_at"), _iso(F.col("created_at")).alias("created_at"),
+        F.when(F.col("pr_number") % 23 == 3, F.lit("")).otherwise(_iso(F.col("merged_at"))).alias("merged_at"),
+        _iso(F.col("created_at")).alias("created_at"),
         _iso(F.col("closed_at")).alias("closed_at"), _iso(F.col("closed_at")).alias("updated_at"),
         F.col("review_comments"), F.col("comments"))
-    return raw.select("repo", F.to_json(doc).alias("value"))
+    value = F.when(F.col("pr_number") % 2 == 0, F.to_json(doc, {"ignoreNullFields": "false"})).otherwise(F.to_json(doc))
+    return raw.select("repo", value.alias("value"))
 
 
 def review_payloads(raw: DataFrame) -> DataFrame:
     """One JSON document per PR with its list of reviews. A PR bucket holds at
-    most five fixture events (pr_number = event_id - event_id % 5)."""
+    most five fixture events (pr_number = event_id - event_id % 5). Numbers 5
+    mod 35 have reviews with an empty state, 10 mod 35 with an empty login."""
     item = F.struct(
-        F.struct(F.col("reviewer_login").alias("login"), F.col("reviewer_type").alias("type")).alias("user"),
-        F.col("state"), _iso(F.col("submitted_at")).alias("submitted_at"))
+        F.struct(F.when(F.col("pr_number") % 35 == 10, F.lit("")).otherwise(F.col("reviewer_login")).alias("login"),
+                 F.col("reviewer_type").alias("type")).alias("user"),
+        F.when(F.col("pr_number") % 35 == 5, F.lit("")).otherwise(F.col("state")).alias("state"), _iso(F.col("submitted_at")).alias("submitted_at"))
     per_pr = raw.groupBy("repo", "pr_number").agg(F.collect_list(item).alias("reviews"))
     return per_pr.select("repo", F.to_json(F.struct("pr_number", "reviews")).alias("value"))
 
 
 def issue_payloads(raw: DataFrame) -> DataFrame:
-    """Issue documents; every issue whose number is 5 mod 17 is a pull request
-    in disguise (carries a ``pull_request`` object) and must be dropped."""
+    """Issue documents; numbers 5 and 6 mod 17 are pull requests in disguise
+    (a ``pull_request`` object with ``url``, or with ``html_url`` only) and must
+    be dropped; 7 mod 17 has an empty object and stays."""
+    n = F.col("issue_number") % 17
+    link = F.concat(F.lit("https://pr/"), F.col("issue_number").cast("string"))
     doc = F.struct(
         F.col("issue_number").alias("number"), F.col("title"), F.col("state"),
-        F.when(F.col("issue_number") % 17 == 5,
-               F.struct(F.concat(F.lit("https://pr/"), F.col("issue_number").cast("string")).alias("url")))
+        F.when(n.isin(5, 6, 7), F.struct(F.when(n == 5, link).alias("url"), F.when(n == 6, link).alias("html_url")))
          .alias("pull_request"),
         _user(F.col("closed_by_login"), None, F.col("closed_by_type")).alias("closed_by"),
         _iso(F.col("created_at")).alias("created_at"), _iso(F.col("closed_at")).alias("closed_at"),

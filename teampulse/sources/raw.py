@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from teampulse import schemas
+from teampulse.constants import UPDATE_COLS
+from teampulse.operators.merge import upsert
 
 
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -20,16 +23,21 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
-                partition_by: tuple[str, ...] = ("repo",), sort_by: tuple[str, ...] = ()) -> None:
-    """Write a table partitioned by ``partition_by``. Rows are range-spread on
-    (partition columns, sort columns) first, so one very large repo is written
-    by several tasks instead of one; with dynamic partition overwrite only the
-    partitions present in ``df`` are replaced."""
-    spread = list(partition_by) + list(sort_by)
-    out = df.repartitionByRange(*spread) if spread else df
+                partition_by: tuple[str, ...] = ("repo",), sort_by: tuple[str, ...] = (),
+                replace: str = "all") -> None:
+    """Write a table partitioned by ``partition_by`` and, in each file, sorted
+    by ``sort_by``. Rows are range-spread on the partition columns and the sort
+    columns, or a hash of the row, so one very large repo is written by several
+    tasks. ``replace``: "all" overwrites the whole table, so partitions that are
+    not in ``df`` go; "touched" only the partitions that ``df`` has."""
+    if replace not in ("all", "touched"):
+        raise ValueError(f"unknown replace {replace!r}")
+    spread = [F.col(c) for c in (*partition_by, *sort_by)]
+    out = df.repartitionByRange(*spread, F.xxhash64(*df.columns))
     if sort_by:
         out = out.sortWithinPartitions(*spread)
-    out.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    (out.write.mode(mode).option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
+        .partitionBy(*partition_by).parquet(path))
 
 
 def write_mart(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
@@ -37,6 +45,52 @@ def write_mart(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
     write_table(df, path, mode="overwrite", sort_by=sort_by)
 
 
+# --- raw tables laid out by key bucket --------------------------------------
+
+BUCKET = "bucket"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at ``path``; errors other than its absence are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def key_bucket(keys, buckets: int):
+    """Bucket of a key: the stored layout of an upserted table."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def write_bucketed(rows: DataFrame, path: str, keys, buckets: int, replace: str = "all") -> None:
+    write_table(rows.withColumn(BUCKET, key_bucket(keys, buckets)), path,
+                partition_by=(BUCKET,), sort_by=("repo",), replace=replace)
+
+
+def upsert_into(spark: SparkSession, path: str, table: str, incoming: DataFrame, *, buckets: int,
+                loaded_at, seq_col: str = "_seq") -> list[int]:
+    """Merge ``incoming`` into the stored bucketed table. Only the buckets that
+    the batch touches are read and written; their numbers (at most ``buckets``)
+    are returned. ``incoming`` should be cheap to read twice (a stored frame)."""
+    keys = schemas.KEYS[table]
+    touched = [r[0] for r in incoming.select(key_bucket(keys, buckets)).distinct().collect()]
+    stored = read_bucketed(spark, path, table, touched)
+    merged = upsert(stored, incoming, keys, UPDATE_COLS[table], seq_col=seq_col, loaded_at=loaded_at)
+    if touched:
+        write_bucketed(merged, path, keys, buckets, replace="touched")
+    return sorted(touched)
+
+
+def read_bucketed(spark: SparkSession, path: str, table: str, only: list[int] | None = None) -> DataFrame:
+    """A bucketed raw table, or those of its buckets that are listed."""
+    schema = schemas.RAW[table]
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(StructType(schema.fields + [StructField(BUCKET, IntegerType())])).parquet(path)
+    if only is not None:
+        df = df.where(F.col(BUCKET).isin(only) if only else F.lit(False))
+    return df.select(*schema.fieldNames())
+
+
 def append_run(runs: DataFrame, path: str) -> None:
     """Append run-log rows; counts missing from a row read 0."""
     counts = ["commits_loaded", "prs_loaded", "reviews_loaded", "issues_loaded"]

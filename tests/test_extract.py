@@ -1,4 +1,4 @@
-"""Landed JSON -> raw rows."""
+"""Landed JSON -> raw rows."""
 
 import datetime as dt
 import json
@@ -29,7 +29,8 @@ def test_commits_file_round_trip(spark, tmpdir_path):
     landed = X.read_landed(spark, tmpdir_path)
     got = X.extract_commits(landed, SINCE).collect()
     assert [r.sha for r in got] == ["a"]
-    assert len(got[0].message) == 500 and got[0].repo == "org/r"
+    assert len(got[0].message) == 600 and got[0].repo == "org/r"
+    assert len(X.extract_commits(landed, SINCE, message_chars=500).first().message) == 500
     assert got[0].committed_at == T(2024, 1, 11)
 
 
@@ -75,24 +76,55 @@ def test_issues_drop_pull_requests_and_old_closes(spark):
         {**base, "number": 4, "closed_at": None},
         {**base, "number": 5, "closed_at": "2024-01-11T00:00:00Z", "closed_by": None},
         {**base, "number": 6, "closed_at": "2024-01-11T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z"},
+        {**base, "number": 7, "closed_at": "2024-01-11T00:00:00Z", "pull_request": {"html_url": "u"}},
+        {**base, "number": 8, "closed_at": "2024-01-11T00:00:00Z", "pull_request": {}},
+        {**base, "number": 9, "closed_at": "2024-01-11T00:00:00Z", "pull_request": None},
     ]
-    got = [r.issue_number for r in X.extract_closed_issues(_landed(spark, docs), SINCE).collect()]
-    assert got == [1]
+    got = sorted(r.issue_number for r in X.extract_closed_issues(_landed(spark, docs), SINCE).collect())
+    assert got == [1, 8, 9]  # any object that is not empty marks a pull request
 
 
-def test_cap_before_filter_and_sample_after(spark):
-    # The page cap counts bots; the review sample counts filtered PRs only
-    docs = [{"sha": f"{i:02d}", "author": {"login": "dependabot" if i >= 8 else "ann", "type": "User"},
-             "commit": {"message": "m", "author": {"date": f"2024-01-{11 + i:02d}T00:00:00Z"}}}
-            for i in range(10)]
+def test_reviews_of_all_filtered_prs(spark):
+    prs = spark.createDataFrame([("org/r", i) for i in range(1, 101)], "repo string, pr_number int")
+    reviews = spark.createDataFrame([("org/r", i, "x") for i in range(1, 201)] + [("org/s", 1, "x")],
+                                    "repo string, pr_number int, reviewer_login string")
+    got = sorted(r.pr_number for r in X.reviews_of(prs, reviews).collect())
+    assert got == list(range(1, 101))
+
+
+def test_offsets_are_instants_in_any_session_zone(spark):
+    dates = ["2024-01-11T12:00:00+02:00", "2024-01-11T12:00:00Z", "2024-01-11T12:00:00", "2024-03-10T02:30:00-0800",
+             "2024-11-03T09:30:00Z", "yesterday", "", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(dates)], "i int, s string")
+    want = [T(2024, 1, 11, 10), T(2024, 1, 11, 12), T(2024, 1, 11, 12), T(2024, 3, 10, 10, 30), T(2024, 11, 3, 9, 30),
+            None, None, None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.t for r in df.select("i", X.instant(F.col("s")).alias("t")).orderBy("i").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_unreadable_dates_are_counted(spark):
+    docs = [{"sha": str(i), "commit": {"author": {"date": d}}} for i, d in enumerate(["2024-01-01T00:00:00Z", "soon", "", None])]
     parsed = X.parse(_landed(spark, docs), "commits")
-    capped = X.cap_newest(parsed, 5, X.commit_order())
-    got = sorted(r.sha for r in X.extract_commits(capped, SINCE).collect())
-    assert got == ["05", "06", "07"]  # newest five are 05..09; 08 and 09 are bots
+    assert tuple(X.unreadable_dates(parsed, "commits").first()) == (4, 1)
 
-    prs = spark.createDataFrame([("org/r", i, T(2024, 1, i + 1)) for i in range(1, 6)],
-                                "repo string, pr_number int, updated_at timestamp_ntz")
-    reviews = spark.createDataFrame([("org/r", i, "x") for i in range(1, 8)],
-                                    "repo string, pr_number int, reviewer_login string")
-    got = sorted(r.pr_number for r in X.sample_reviews(prs, reviews, 2).collect())
-    assert got == [4, 5]
+
+def test_one_parse_per_document(spark):
+    landed = _landed(spark, [{}])
+    plans = [X.extract_commits(landed, SINCE), X.extract_merged_prs(landed, SINCE), X.extract_reviews(landed),
+             X.extract_closed_issues(landed, SINCE)]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1 and "json_object_keys" not in plan
+
+
+def test_listed_bot_accounts(spark):
+    from teampulse.functions import is_bot
+
+    rows = [("dependabot",), ("POSTHOG-BOT",), ("ci[bot]",), ("ci[BOT]",), ("ann",)]
+    df = spark.createDataFrame(rows, "login string").select(F.struct("login", F.lit("User").alias("type")).alias("u"))
+    assert [r[0] for r in df.select(is_bot("u")).collect()] == [True, True, True, False, False]

@@ -37,7 +37,7 @@ def test_key_includes_repo(spark):
     assert set(got) == {(1, "a"), (1, "b")}
 
 
-def test_scope_reads_only_touched_partitions(spark):
+def test_scope_returns_only_touched_rows(spark):
     e = spark.createDataFrame([(1, "a", "s", "x", None), (2, "b", "t", "y", None)], SCHEMA)
     i = spark.createDataFrame([(1, "a", "n", "z", None, 0)], SCHEMA + ", _seq int")
     out = upsert(e, i, ["k", "repo"], ["upd"], loaded_at=LOAD, scope=["repo"])
@@ -50,3 +50,10 @@ def test_requires_sequence(spark):
     e = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError):
         upsert(e, e, ["k", "repo"], ["upd"])
+
+
+def test_plan_has_no_sort_aggregate(spark):
+    e = spark.createDataFrame([], SCHEMA)
+    i = spark.createDataFrame([(1, "a", "n", "z", None, 0)], SCHEMA + ", _seq int")
+    plan = upsert(e, i, ["k", "repo"], ["upd"], loaded_at=LOAD)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -44,5 +44,31 @@ def test_top_n_per_group_with_hot_group(spark):
         members = sorted(((v, i) for gg, i, v in data if gg == g), reverse=True)[:3]
         want += [(g, pos, i) for pos, (_, i) in enumerate(members, 1)]
     assert rows == want
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan  # partial limit before the shuffle
+    for n in (3, 1000, 1001, 5000):  # a partial limit before the shuffle, whatever n
+        plan = top_n_per_group(df, ["g"], [F.col("v").desc()], n)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") == 2
+
+
+def test_rank_reads_its_rows_once_and_survives_a_hot_score(spark):
+    data = [(f"e{i}", "r", 1.0 if i % 10 else float(i)) for i in range(400)]
+    df = spark.createDataFrame(data, "e string, repo string, s double").groupBy("e", "repo").agg(F.max("s").alias("s"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rank_desc(df, ["repo"], "s", "rk", spread=("e", "repo"))
+        rows = {r.e: r.rk for r in got.collect()}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scores = {e: s for e, _, s in data}
+    assert all(rk == 1 + sum(x > scores[e] for x in scores.values()) for e, rk in rows.items()) and len(rows) == 400
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
+def test_board_insights_compute_the_board_once(spark):
+    from teampulse import registry as Q
+
+    for name, scans in (("profile_badge_relative", 4), ("podium_top3", 4), ("leaderboard_full", 4)):
+        plan = Q.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= 2 * scans if name == "leaderboard_full" else plan.count("FileScan") == scans

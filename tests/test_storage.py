@@ -33,3 +33,51 @@ def test_append_run_defaults_counts(spark, tmpdir_path):
     R.append_run(runs, path)
     got = R.read_runs(spark, path).collect()
     assert len(got) == 2 and all((r.commits_loaded, r.prs_loaded, r.issues_loaded) == (0, 3, 0) for r in got)
+
+
+MART = "repo string, engineer_login string, n int"
+
+
+def test_rebuild_drops_repos_that_left(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "mart")
+    R.write_mart(spark.createDataFrame([("r1", "a", 1), ("r2", "b", 2)], MART), path)
+    R.write_mart(spark.createDataFrame([("r1", "a", 3)], MART), path)
+    assert [(r.repo, r.n) for r in spark.read.parquet(path).collect()] == [("r1", 3)]
+
+
+def test_touched_partitions_only(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "mart")
+    R.write_table(spark.createDataFrame([("r1", "a", 1), ("r2", "b", 2)], MART), path)
+    R.write_table(spark.createDataFrame([("r1", "a", 3)], MART), path, replace="touched")
+    assert sorted((r.repo, r.n) for r in spark.read.parquet(path).collect()) == [("r1", 3), ("r2", 2)]
+
+
+def test_one_large_repo_is_written_by_several_tasks(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "mart")
+    df = spark.range(0, 4000).selectExpr("'r' AS repo", "cast(id AS string) AS engineer_login", "cast(id AS int) AS n")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        R.write_table(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = [f for f in os.listdir(os.path.join(path, "repo=r")) if f.endswith(".parquet")]
+    assert len(files) > 1
+
+
+def test_upsert_into_touches_only_its_buckets(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "raw")
+    old = spark.createDataFrame([(str(i), "ann", "u", "User", "m", T(2024, 1, 1), "org/a", None) for i in range(64)], RAW_COMMITS)
+    R.write_bucketed(old, path, ("sha",), 8)
+    files = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket=")}
+    row = ("7", "bo", "v", "User", "m2", T(2024, 1, 2), "org/a", None)
+    batch = spark.createDataFrame([(*row, 0)], "sha string, author_login string, author_avatar_url string, author_type string, message string, "
+                                  "committed_at timestamp_ntz, repo string, extracted_at timestamp_ntz, _seq long")
+    touched = R.upsert_into(spark, path, "commits", batch, buckets=8, loaded_at=T(2024, 2, 1))
+    assert len(touched) == 1
+    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket=")}
+    assert {d for d in files if files[d] != after[d]} == {f"bucket={touched[0]}"}
+    got = {r.sha: r for r in R.read_bucketed(spark, path, "commits").collect()}
+    assert len(got) == 64 and (got["7"].author_login, got["7"].message) == ("bo", "m")
+    plan = R.read_bucketed(spark, path, "commits", touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
