@@ -19,7 +19,8 @@ left extensions is a maximal repeat group with all its occurrences. Each
 occurrence but the earliest gives up as many bytes as it shares with an earlier
 one. The spans of a document's contexts overlap and merge to whole passages.
 
-Skew. Equal contexts within a task's batch are sent once (the others are known
+Skew. Equal texts are aggregated by digest first: all copies but the first go
+whole and no shard sees them. Equal contexts within a task's batch are sent once (the others are known
 to be repeats of an earlier one). Contexts of an anchor with over `HOT_ANCHOR`
 occurrences are sent as single windows, spread by the hash of the window, so
 that what meets there is one equal string. A shard works through its rows in
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.llm import vec
-from teampulse.llm.frames import partitions_for
+from teampulse.llm.frames import partitions_for, stored
 
 LENGTH = 100
 GRAM = 32
@@ -143,8 +144,8 @@ def resolve(groups, order_key):
     return out
 
 
-def repeated_spans(contexts: list[bytes], doc, tie, place, length: int = LENGTH):
-    """(context, begin, end) of the spans to remove: contexts[i] lies at place[i] of document (doc[i], tie[i])."""
+def repeated_spans(contexts: list[bytes], doc, place, length: int = LENGTH):
+    """(context, begin, end) of the spans to remove: contexts[i] lies at place[i] of document doc[i]."""
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     data = np.frombuffer(b"".join(contexts), np.uint8)
     base = np.cumsum(sizes) - sizes
@@ -188,7 +189,7 @@ def repeated_spans(contexts: list[bytes], doc, tie, place, length: int = LENGTH)
         b = data[at[part - 1][:, None] + np.arange(length)]
         lcp[part[(a != b).any(axis=1)]] = 0
     earlier = np.empty(len(at), np.int64)
-    earlier[np.lexsort((place[own] + inner, tie[own], doc[own]))] = np.arange(len(at))
+    earlier[np.lexsort((place[own] + inner, doc[own]))] = np.arange(len(at))
     found = resolve(maximal_repeats(lcp.tolist(), left.tolist(), length), earlier.tolist())
     if not found:
         z = np.zeros(0, np.int64)
@@ -197,14 +198,14 @@ def repeated_spans(contexts: list[bytes], doc, tie, place, length: int = LENGTH)
     return own[which], inner[which], inner[which] + depth
 
 
-_ROW = "h long, w long, id long, tie long, place int, size int, context binary"
-_FIELDS = ["h", "w", "id", "tie", "place", "size", "context"]
+_ROW = "h long, w long, key long, place int, size int, context binary"
+_FIELDS = ["h", "w", "key", "place", "size", "context"]
 
 
-def _batch(h, w, doc, tie, place, size, context):
+def _batch(h, w, doc, place, size, context):
     return pa.RecordBatch.from_arrays(
-        [pa.array(h, pa.int64()), pa.array(w, pa.int64()), pa.array(doc, pa.int64()), pa.array(tie, pa.int64()),
-         pa.array(place, pa.int32()), pa.array(size, pa.int32()), pa.array(context, pa.binary())], _FIELDS)
+        [pa.array(h, pa.int64()), pa.array(w, pa.int64()), pa.array(doc, pa.int64()), pa.array(place, pa.int32()),
+         pa.array(size, pa.int32()), pa.array(context, pa.binary())], _FIELDS)
 
 
 def _anchor_hashes(length, gram):
@@ -219,24 +220,23 @@ def _anchor_hashes(length, gram):
 def _anchor_rows(length, gram):
     def run(batches):
         for batch in batches:
-            row, h, first, count = batch_anchors(*vec.buffers(batch.column(2)), length, gram)
-            row = pa.array(row)
+            row, h, first, count = batch_anchors(*vec.buffers(batch.column(1)), length, gram)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
-                 pa.array((first << 8 | count).astype(np.int64))], ["h", "id", "tie", "run"])
+                [pa.array(h.view(np.int64)), batch.column(0).take(pa.array(row)),
+                 pa.array((first << 8 | count).astype(np.int64))], ["h", "key", "run"])
 
     return run
 
 
 def _contexts(length):
-    """Rows (id, tie, text, found: array of (h, run, hot)) to rows of _ROW: contexts, and spans (no context) of contexts
+    """Rows (key, text, found: array of (h, run, hot)) to rows of _ROW: contexts, and spans (no context) of contexts
     that equal an earlier one of the batch."""
 
     def run(batches):
         for batch in batches:
             kept: dict = {}
             spans = []
-            for doc, tie, text, found in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for doc, text, found in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 raw = text.encode()
                 for one in found:
                     first, count = one["run"] >> 8, one["run"] & 255
@@ -248,7 +248,7 @@ def _contexts(length):
                     else:
                         parts = [(0, first, raw[first : first + count + length - 1])]
                     for code, place, context in parts:
-                        key, mine = (one["h"], code, context), (doc, tie, place)
+                        key, mine = (one["h"], code, context), (doc, place)
                         other = kept.setdefault(key, mine)
                         if other != mine:
                             late = max(other, mine)
@@ -257,42 +257,41 @@ def _contexts(length):
             if kept:
                 keys, places = zip(*kept.items())
                 h, w, context = zip(*keys)
-                doc, tie, place = zip(*places)
-                yield _batch(h, w, doc, tie, place, list(map(len, context)), context)
+                doc, place = zip(*places)
+                yield _batch(h, w, doc, place, list(map(len, context)), context)
             if spans:
-                doc, tie, place, size = zip(*spans)
-                yield _batch(doc, place, doc, tie, place, size, [None] * len(spans))  # spread over the shards
+                doc, place, size = zip(*spans)
+                yield _batch(doc, place, doc, place, size, [None] * len(spans))  # spread over the shards
 
     return run
 
 
 def _shards(length, chunk_bytes):
-    """Rows of _ROW, sorted by (h, w), to spans (id, tie, span = begin << 32 | end)."""
+    """Rows of _ROW, sorted by (h, w), to spans (key, span = begin << 32 | end)."""
 
-    def spans(doc, tie, begin, end):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc, pa.int64()), pa.array(tie, pa.int64()), pa.array(begin << 32 | end, pa.int64())],
-            ["id", "tie", "span"])
+    def spans(doc, begin, end):
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(begin << 32 | end, pa.int64())],
+                                          ["key", "span"])
 
     def solve(rows):
         table = pa.Table.from_batches(rows)
-        doc, tie, place = (table[c].to_numpy().astype(np.int64) for c in ("id", "tie", "place"))
-        which, begin, end = repeated_spans(table["context"].to_pylist(), doc, tie, place, length)
-        return spans(doc[which], tie[which], place[which] + begin, place[which] + end)
+        doc, place = (table[c].to_numpy().astype(np.int64) for c in ("key", "place"))
+        which, begin, end = repeated_spans(table["context"].to_pylist(), doc, place, length)
+        return spans(doc[which], place[which] + begin, place[which] + end)
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            ready = batch.filter(pa.compute.is_null(batch.column(6)))
+            ready = batch.filter(pa.compute.is_null(batch.column(5)))
             if ready.num_rows:
-                place = ready.column(4).to_numpy().astype(np.int64)
-                yield spans(ready.column(2), ready.column(3), place, place + ready.column(5).to_numpy())
-                batch = batch.filter(pa.compute.is_valid(batch.column(6)))
+                place = ready.column(3).to_numpy().astype(np.int64)
+                yield spans(ready.column(2), place, place + ready.column(4).to_numpy())
+                batch = batch.filter(pa.compute.is_valid(batch.column(5)))
             if not batch.num_rows:
                 continue
             h, w = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             turn = np.flatnonzero((h[1:] != h[:-1]) | (w[1:] != w[:-1])) + 1
-            bytes_to = np.cumsum(batch.column(5).to_numpy())
+            bytes_to = np.cumsum(batch.column(4).to_numpy())
             start = 0
             if held:
                 last = held[-1]
@@ -332,36 +331,59 @@ def cut(raw: bytes, spans) -> tuple[bytes, int]:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])), len(begin)
 
 
-def _keyed(docs: DataFrame, unique: bool) -> DataFrame:
-    """docs with _id (null ids below all) and _tie (0, or where ids repeat a hash of the text that tells rows apart)."""
-    low = F.lit(-(1 << 63)).cast("bigint")
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), low))
-    return keyed.withColumn("_tie", F.lit(0).cast("bigint") if unique else F.xxhash64(F.coalesce("text", F.lit(""))))
+_LOWEST = -(1 << 63)
 
 
-def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR,
+def _texts(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """((key, text) of the documents; (id, tie, key) of their rows, or None where the key is the id).
+
+    Keys follow the order of doc_id, null ids below all. Where ids are unique they are the keys. Else each distinct
+    (id, text) is a document of its own, numbered in order of id and, within one, of a hash of the text.
+    """
+    n, distinct = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    text = F.coalesce("text", F.lit(""))
+    low = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST).cast("bigint"))
+    if n == distinct:
+        return docs.select(low.alias("key"), text.alias("text")), None
+    rows = docs.select(low.alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    numbers = stored(rows.select("id", "tie").distinct().orderBy("id", "tie")
+                     .withColumn("key", F.monotonically_increasing_id()), "document-numbers")
+    texts = rows.dropDuplicates(["id", "tie"]).join(numbers, ["id", "tie"]).select("key", "text")
+    return texts, numbers
+
+
+def _dealt(texts: DataFrame) -> DataFrame:
+    """texts dealt out by key. Every step that needs the bytes reads this one exchange: its columns are never null, so no
+    join adds a filter below it that would make it another."""
+    return texts.repartition(partitions_for(texts), "key")
+
+
+def _copies(texts: DataFrame, length: int) -> DataFrame:
+    """(key, size) of the texts of `length` bytes or more that a smaller key has as well."""
+    digests = texts.select("key", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1)
+    return (digests.join(first, "digest").where((F.col("key") > F.col("first")) & (F.col("size") >= length))
+            .select("key", "size"))
+
+
+def repeat_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR,
                  chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(id, tie, spans: array of begin << 32 | end) of the documents of _keyed() rows that lose bytes."""
-    texts = docs.where(F.octet_length("text") >= length).select(F.col("_id").alias("id"), F.col("_tie").alias("tie"), "text")
-    parts = partitions_for(docs)
-    twice = (texts.select("text").mapInArrow(_anchor_hashes(length, gram), "h long").groupBy("h").count()
+    """(key, spans: array of begin << 32 | end) of the texts that lose bytes.
+
+    Equal texts are aggregated first: all but the smallest key's go whole and stay out of the shards.
+    """
+    parts, copies = partitions_for(texts), _copies(texts, length)
+    texts = _dealt(texts)
+    rest = texts.join(copies, "key", "left").where(F.col("size").isNull()).select("key", "text")
+    twice = (rest.select("text").mapInArrow(_anchor_hashes(length, gram), "h long").groupBy("h").count()
              .where(F.col("count") > 1).select("h", (F.col("count") > hot_anchor).alias("hot")))
-    found = (texts.mapInArrow(_anchor_rows(length, gram), "h long, id long, tie long, run long").join(twice, "h")
-             .groupBy("id", "tie").agg(F.collect_list(F.struct("h", "run", "hot")).alias("found")))
-    contexts = (texts.join(found, ["id", "tie"]).select("id", "tie", "text", "found").mapInArrow(_contexts(length), _ROW))
+    found = (rest.mapInArrow(_anchor_rows(length, gram), "h long, key long, run long").join(twice, "h")
+             .groupBy("key").agg(F.collect_list(F.struct("h", "run", "hot")).alias("found")))
+    contexts = texts.join(found, "key").select("key", "text", "found").mapInArrow(_contexts(length), _ROW)
     shards = contexts.repartition(parts, "h", "w").sortWithinPartitions("h", "w")
-    return (shards.mapInArrow(_shards(length, chunk_bytes), "id long, tie long, span long")
-            .groupBy("id", "tie").agg(F.collect_list("span").alias("spans")))
-
-
-def _with_spans(docs: DataFrame, **options) -> DataFrame:
-    """docs with a column spans (null where nothing goes)."""
-    n, distinct = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
-    keyed = _keyed(docs, n == distinct)
-    texts = keyed if n == distinct else keyed.dropDuplicates(["_id", "_tie"])
-    spans = repeat_spans(texts.select("_id", "_tie", "text"), **options)
-    return (keyed.join(spans, (keyed["_id"] == spans["id"]) & (keyed["_tie"] == spans["tie"]), "left")
-            .drop("id", "tie", "_id", "_tie"))
+    spans = shards.mapInArrow(_shards(length, chunk_bytes), "key long, span long")
+    whole = copies.select("key", F.col("size").cast("long").alias("span"))  # from 0 to size
+    return spans.unionByName(whole).groupBy("key").agg(F.collect_list("span").alias("spans"))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
@@ -370,39 +392,58 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     Null text reads as empty. Null ids sort before all others. Rows that repeat an id and a text count as one document
     and have equal results; different texts of one id are ordered by a hash. An empty table gives an empty result.
     """
-    source = _with_spans(docs.select("doc_id", "text"), **options).select("doc_id", "text", "spans")
+    texts, numbers = _texts(docs.select("doc_id", "text"))
+    source = _dealt(texts).join(repeat_spans(texts, **options), "key", "left").select("key", "text", "spans")
 
     def run(batches):
         for batch in batches:
             out = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                raw = (text or "").encode()
+                raw = text.encode()
                 kept, n = cut(raw, spans or ())
                 out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), kept))
             columns = list(zip(*out)) if out else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                                             ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    results = source.mapInArrow(run, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    if numbers is None:
+        results = results.withColumnRenamed("key", "id")
+    else:
+        rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST).cast("bigint")).alias("id"),
+                           F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+        results = rows.join(numbers, ["id", "tie"]).join(results, "key")
+    doc_id = F.when(F.col("id") != F.lit(_LOWEST).cast("bigint"), F.col("id")).cast(docs.schema["doc_id"].dataType)
+    return results.select(doc_id.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """docs with its columns, the repeats cut from the text; characters of which a byte goes are dropped whole, and
     n_chars, if docs has it, is counted anew. A null text stays null."""
-    joined = _with_spans(docs, **options)
-    place, spans_at, columns = joined.columns.index("text"), joined.columns.index("spans"), docs.columns
+    texts, numbers = _texts(docs.select("doc_id", "text"))
+    spans = repeat_spans(texts, **options)
+    low = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_LOWEST).cast("bigint"))
+    if numbers is None:
+        spans = spans.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+        joined = docs.join(spans, low == spans["_key"], "left").drop("_key")
+    else:
+        spans = numbers.join(spans, "key").select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), F.col("spans").alias("_spans"))
+        tie = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+        joined = docs.join(spans, (low == spans["_id"]) & (tie == spans["_tie"]), "left").drop("_id", "_tie")
+    columns, names = docs.columns, joined.columns
+    place, spans_at = names.index("text"), names.index("_spans")
 
     def run(batches):
         for batch in batches:
+            all_spans = batch.column(spans_at).to_pylist()
             texts = [t if t is None or not s else cut(t.encode(), s)[0].decode(errors="ignore")
-                     for t, s in zip(batch.column(place).to_pylist(), batch.column(spans_at).to_pylist())]
-            arrays = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+                     for t, s in zip(batch.column(place).to_pylist(), all_spans)]
+            arrays = dict(zip(names, batch.columns))
             arrays["text"] = pa.array(texts, pa.string())
             if "n_chars" in columns:
-                counts = [n if s is None or t is None else len(t) for n, s, t in
-                          zip(arrays["n_chars"].to_pylist(), batch.column(spans_at).to_pylist(), texts)]
+                counts = [n if s is None or t is None else len(t)
+                          for n, s, t in zip(arrays["n_chars"].to_pylist(), all_spans, texts)]
                 arrays["n_chars"] = pa.array(counts, arrays["n_chars"].type)
             yield pa.RecordBatch.from_arrays([arrays[c] for c in columns], columns)
 
