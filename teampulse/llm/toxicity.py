@@ -9,7 +9,9 @@ beside the mention of a group, say. The score is the logistic of the sum.
 It is fitted on a bounded sample, at most `TOXIC_ROWS` toxic and `CLEAN_ROWS`
 other labelled rows, chosen by a hash of the id; the intercept is corrected for
 the sampling from counts over all labelled rows. Terms with a clear link to the
-label (chi-square at least `MIN_CHI2`, in `MIN_ROWS` rows or more) take part.
+label (chi-square at least `MIN_CHI2`, in `MIN_ROWS` rows or more, at most
+`MAX_TERMS` of them) take part; they are counted in Spark, and what reaches the
+driver is the sample's rows in those terms.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.llm import vec
-from teampulse.llm.frames import filtered
+from teampulse.llm.frames import filtered, stored
 
-TOXIC_ROWS = 4000
-CLEAN_ROWS = 8000
+TOXIC_ROWS = 2500
+CLEAN_ROWS = 5000
 MIN_ROWS = 3
 MIN_CHI2 = 15.0
 MAX_TERMS = 1 << 14
@@ -82,37 +84,31 @@ def score(model: dict, data, offsets) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
 
 
-def choose_terms(row, h, y) -> np.ndarray:
-    """Sorted hashes of the terms to learn from the distinct (row, hash) pairs of a sample with labels y."""
-    unique, inverse = np.unique(h, return_inverse=True)
-    n, toxic = len(y), float(y.sum())
-    seen = np.bincount(inverse, minlength=len(unique)).astype(float)
-    bad = np.bincount(inverse, y[row], len(unique))
-    expected = seen * toxic / max(n, 1)
-    spread = expected * (1 - toxic / max(n, 1)) * (1 - seen / max(n, 1))
-    chi2 = np.where(spread > 0, (bad - expected) ** 2 / np.maximum(spread, 1e-12), 0)
-    good = np.flatnonzero((seen >= MIN_ROWS) & (chi2 >= MIN_CHI2))
-    good = good[np.lexsort((unique[good], -chi2[good]))][:MAX_TERMS]
-    return np.sort(unique[good])
-
-
-def fit(row, h, y, prior: float, epochs: int = 30, batch: int = 256, rate: float = 0.15, l2: float = 2e-4, seed: int = 3) -> dict:
-    """A machine for distinct (row, hash) pairs of rows with labels y (0/1), by AdaGrad on the logistic loss.
-
-    prior: the share of toxic rows outside the sample.
-    """
+def choose_terms(sample: DataFrame, rows: int, toxic: int) -> np.ndarray:
+    """Sorted hashes of the terms to learn; sample: (toxic, terms: array) of `rows` rows, `toxic` of them toxic."""
+    if not 0 < toxic < rows:
+        return np.zeros(0, np.uint64)
+    seen = F.col("seen").cast("double")
+    expected = seen * (toxic / rows)
+    spread = expected * (1 - toxic / rows) * (1 - seen / rows)
+    chi2 = F.try_divide((F.col("bad") - expected) * (F.col("bad") - expected), spread)
+    best = (sample.select("toxic", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.count("*").alias("seen"), F.sum("toxic").alias("bad"))
+            .where(F.col("seen") >= MIN_ROWS).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
+            .orderBy(F.col("chi2").desc(), "term").limit(MAX_TERMS))
+    return np.sort(best.select("term").toArrow()["term"].to_numpy().view(np.uint64))
+
+
+def fit(known, row, at, y, prior: float, epochs: int = 30, batch: int = 256, rate: float = 0.15, l2: float = 2e-4,
+        seed: int = 3) -> dict:
+    """A machine for the (row, number of a known term) pairs of rows with labels y (0/1), sorted by row; AdaGrad on the
+    logistic loss. prior: the share of toxic rows outside the sample."""
     y = np.asarray(y, float)
-    known = choose_terms(row, h, y)
     rng = np.random.default_rng(seed)
     model = {"terms": known, "w0": 0.0, "w": np.zeros(len(known)), "v": rng.normal(0, 0.02, (len(known), FACTORS))}
     share = np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6)
     model["w0"] = float(np.log(share / (1 - share)))
-    if len(known) and 0 < y.sum() < len(y):
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = known[at] == h
-        row, at = row[hit], at[hit]
-        order = np.argsort(row, kind="stable")
-        row, at = row[order], at[order]
+    if len(known):
         begin = np.searchsorted(row, np.arange(len(y) + 1))
         sums = {"w0": 1e-8, "w": np.full(len(known), 1e-8), "v": np.full((len(known), FACTORS), 1e-8)}
         for _ in range(epochs):
@@ -167,13 +163,25 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
                 ["doc_id", "toxic", "terms"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"doc_id {kind}, toxic int, terms array<long>").orderBy("doc_id", "terms").toArrow()
-    y = got["toxic"].to_numpy().astype(float)
-    lists = got["terms"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
-    lengths = np.diff(lists.offsets.to_numpy()) if got.num_rows else np.zeros(0, np.int64)
-    h = lists.flatten().to_numpy().view(np.uint64) if got.num_rows else np.zeros(0, np.uint64)
+    sampled = stored(rows.mapInArrow(run, f"doc_id {kind}, toxic int, terms array<long>"), "toxicity-sample")
+    n, toxic = sampled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    known = choose_terms(sampled, n, toxic)
+
+    def numbered(batches):
+        for batch in batches:
+            lists = []
+            for found in batch.column(2):
+                h = found.values.to_numpy().view(np.uint64)
+                lists.append(np.flatnonzero(np.isin(known, h)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))],
+                                             ["doc_id", "toxic", "terms"])
+
+    got = sampled.mapInArrow(numbered, f"doc_id {kind}, toxic int, terms array<int>").orderBy("doc_id", "terms").toArrow()
+    lists = [x.values.to_numpy() for x in got["terms"]] if got.num_rows else []
+    at = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     total = sum(counts.values())
-    return fit(np.repeat(np.arange(len(y)), lengths), h, y, counts.get(1, 0) / total if total else 0.0)
+    return fit(known, row, at, got["toxic"].to_numpy(), counts.get(1, 0) / total if total else 0.0)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
