@@ -33,7 +33,8 @@ def partitions_for(df: DataFrame, bytes_per_partition: int = PARTITION_BYTES) ->
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return floor if size > 1 << 60 else max(floor, math.ceil(size / bytes_per_partition))  # above: size unknown
+    # Spark's mark for an unknown size, or a part of it, is far above any table
+    return floor if size > 1 << 55 else max(floor, math.ceil(size / bytes_per_partition))
 
 
 def hex64(column: str):

@@ -9,8 +9,8 @@ notices, adverts, forms, comments, scripts, styles: by tag, role, class or id)
 are deleted everywhere. What is left of the article (`article`, `main` or
 role=main; the body where there is none) is the text.
 
-Not taken for template: running text (paragraphs, headings, quotations) inside
-an article, and a subtree with half of the page's main text or more, so copies
+Not taken for template: running text (paragraphs, headings, quotations, list
+items, table cells) inside an article, and a subtree with half of the page's main text or more, so copies
 of a page on its host keep their text.
 
 A host's list of template hashes has at most 1 / SHARE times as many entries as
@@ -40,7 +40,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary "
     "table tbody td tfoot th thead tr ul".split())
-FLOW = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote br hr".split())
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote br hr li dt dd tr td th thead tbody tfoot caption figcaption "
+                 "legend summary".split())
 MAIN = frozenset("article main".split())
 #: What opening a tag closes, if it is open inside the nearest element of the second set.
 _CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}),
@@ -95,12 +96,15 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
+            depth = len(stack)
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
                 if stack[i].main and tag not in ("body", "html"):
                     break  # a stray end tag does not close the article
+            if tag in BLOCKS and len(stack) == depth:
+                stack[-1].parts.append(Node("br"))  # it still ends a line
             continue
         if tag in RAW and not m[3].endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)

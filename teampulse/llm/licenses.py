@@ -6,8 +6,8 @@ the smallest of every `WINDOW` neighbours; an inverted index maps each kept hash
 to its places in the templates (its size is the templates', a parameter). All
 runs of a text are looked up, so a copied passage of GRAM + WINDOW - 1 template
 words is always hit. Hits of a template that lie near one diagonal form a
-candidate, whose words are aligned with the template's inside a band of `BAND`
-words around that diagonal (match +1, mismatch and gap -1, best local path).
+candidate, whose words are aligned with the template's inside a band of at most
+`BAND` words around that diagonal (match +1, mismatch and gap -1, best local path).
 Matches that cover at least `COVERAGE` of a template are reported with their
 character span.
 """
@@ -150,8 +150,8 @@ def align(text, template, shift: int, band: int = BAND):
 def scan(index: Index, h) -> list[tuple]:
     """(template, matched words, first word, one past the last) of the matches in a text of word hashes.
 
-    Per template the hits are taken in order of diagonal and place; a group ends where neighbours lie more than BAND
-    diagonals or a template's length apart. Of overlapping matches of one template the one with more words stays.
+    Per template the hits are taken in order of diagonal and place; a group ends where neighbours lie more than the
+    band's diagonals or a template's length apart. Of overlapping matches of one template the one with more words stays.
     """
     at, template, place = index.hits(grams(h))
     out = []
@@ -159,9 +159,10 @@ def scan(index: Index, h) -> list[tuple]:
         own = np.flatnonzero(template == t)
         order = own[np.argsort(at[own], kind="stable")]
         words, group, groups = index.words[t], [], []
+        band = min(BAND, max(1, len(words) // 4))  # narrower than the words between two copies of a short template
         for i in order.tolist():
             d = at[i] - place[i]
-            if group and (abs(d - group[-1][0]) > BAND or at[i] - group[-1][1] > len(words)):
+            if group and (abs(d - group[-1][0]) > band or at[i] - group[-1][1] > len(words)):
                 groups.append(group)
                 group = []
             group.append((int(d), int(at[i])))
@@ -169,9 +170,9 @@ def scan(index: Index, h) -> list[tuple]:
         found = []
         for group in groups:
             shift = sorted(d for d, _ in group)[len(group) // 2]
-            low = max(0, shift - 2 * BAND)
-            part = h[low : shift + len(words) + 2 * BAND]
-            matched, begin, end = align(part.tolist(), words, shift - low)
+            low = max(0, shift - 2 * band)
+            part = h[low : shift + len(words) + 2 * band]
+            matched, begin, end = align(part.tolist(), words, shift - low, band)
             if matched >= COVERAGE * len(words):
                 found.append((t, matched, begin + low, end + low))
         for m in sorted(found, key=lambda m: (-m[1], m[2])):
