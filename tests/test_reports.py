@@ -67,7 +67,7 @@ def test_rank_ties_and_limit(spark):
     with pytest.raises(ValueError):
         reports.leaderboard(raw, R, as_of=AS_OF, days=10)
     with pytest.raises(ValueError):
-        reports.leaderboard(raw, R, as_of=AS_OF, days=7, limit=21)
+        reports.leaderboard_page(raw, R, as_of=AS_OF, days=7, limit=21)
 
 
 def test_trends_partial_week_and_not_found(spark):
