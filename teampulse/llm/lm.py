@@ -120,7 +120,9 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     target = (labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
               .agg((F.coalesce(F.min("quality"), F.lit(0)) == 1).alias("good"), (F.max("toxic") == 1).alias("toxic"))
               .where(F.col("good") & ~F.coalesce("toxic", F.lit(False))).select(F.col("doc_id").alias("target_id")))
-    marked = docs.select("doc_id", "text").join(target, docs["doc_id"] == target["target_id"], "left").select(
+    # labels grow with the corpus: a merge join at every size, never a broadcast
+    marked = docs.select("doc_id", "text").join(
+        target.hint("merge"), docs["doc_id"] == target["target_id"], "left").select(
         "text", F.col("target_id").isNotNull().alias("is_target"))
     session = docs.sparkSession
     shared = session.sparkContext.broadcast(losses(counts(marked)))
