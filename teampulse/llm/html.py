@@ -13,7 +13,9 @@ Not taken for template: running text (paragraphs, headings, quotations, list
 items, table cells) inside an article, and a subtree with half of the page's main text or more, so copies
 of a page on its host keep their text.
 
-A host's list of template hashes has at most 1 / SHARE times as many entries as
+The pages of a host are dealt over `SPREAD` keys for the join with its list, so
+that a host with a large share of all pages does not meet in one task. A
+host's list of template hashes has at most 1 / SHARE times as many entries as
 a page of that host has subtrees on average, so the join back to the pages is
 by host with a bounded list.
 """
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 MIN_PAGES = 3
 SHARE = 0.1
+SPREAD = 64
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|$)""", re.I)
@@ -257,9 +260,10 @@ def extracted(pages: DataFrame) -> DataFrame:
     null ids get a result each (a row is a page in the counts); other columns are not used; an empty table gives an
     empty result.
     """
-    sites = templates(pages)
-    joined = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-              .join(sites, "host", "left").select("page_id", "url", "html", "hashes"))
+    sites = templates(pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    part = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SPREAD)).cast("int")
+    joined = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), part.alias("part"))
+              .join(sites, ["host", "part"], "left").select("page_id", "url", "html", "hashes"))
 
     def run(batches):
         for batch in batches:
