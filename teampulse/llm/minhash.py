@@ -137,7 +137,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     dealt = placed.select("id", "text", F.explode(F.filter(F.array(
         F.struct(F.col("p.bucket").alias("bucket"), F.lit(False).alias("extra")),
         F.struct(F.col("p.before").alias("bucket"), F.lit(True).alias("extra"))), lambda d: d["bucket"] >= 0)).alias("d"))
-    return dealt.select("d.bucket", "d.extra", "id", "text").repartition(last + 1, "bucket")
+    return dealt.select("d.bucket", "d.extra", "id", "text").repartitionById(last + 1, "bucket")
 
 
 def edited(text: str, following: str) -> str:
