@@ -163,3 +163,54 @@ def test_badges_and_bars(spark):
     pod = D.podium(lb).collect()
     assert sorted((r.position, r.slot) for r in pod) == [(1, 2), (2, 1), (3, 3)]
     assert D.podium(_board(spark, [("a", "", 1, 0, 0, 0, 0, 0)])).count() == 0
+
+
+def test_full_board_ranks_everyone_and_titles_are_newest_first(spark):
+    day = T(2024, 1, 28)
+    prs = [pr(i, f"e{i % 40}", day, title=f"t{i}") for i in range(100)]
+    raw = _raw(spark, prs=prs)
+    full = reports.leaderboard(raw, R, as_of=AS_OF, days=7, limit=None)
+    rows = {r.engineer_login: r for r in full.collect()}
+    assert len(rows) == 40
+    assert rows["e0"].recent_pr_titles == ["t80", "t40", "t0"] and rows["e39"].recent_pr_titles == ["t79", "t39"]
+    page = reports.leaderboard(raw, R, as_of=AS_OF, days=7, limit=25).collect()
+    assert len(page) == 25 and all(rows[r.engineer_login].impact_rank == r.impact_rank for r in page)
+
+
+def test_complete_titles_are_sorted(spark):
+    raw = _raw(spark, prs=[pr(i, f"E{i % 3}", T(2024, 1, 1 + i % 20), title=None if i % 7 == 0 else f" t{i} ") for i in range(60)])
+    rows = marts.ordered_pr_titles(staging.stg_pull_requests(raw["pull_requests"])).collect()
+    keys = [(r.repo, r.engineer_login, -r.merged_at.timestamp(), -r.pr_number) for r in rows]
+    assert keys == sorted(keys) and len(rows) == 51 and rows[0].title.startswith("t")
+
+
+def test_empty_board_insight_is_zero(spark):
+    lb = reports.leaderboard_page(_raw(spark), R, as_of=AS_OF, days=7)
+    row = D.team_insight(lb).first()
+    assert (row.total_shipping, row.total_reviewing, row.review_heavy, row.ship_review_ratio) == (0, 0, False, None)
+    assert D.podium(lb).count() == 0 and D.profile_badge_relative(lb).count() == 0
+
+
+def test_mean_hours_do_not_depend_on_row_order(spark):
+    from pyspark.sql import functions as F
+    from teampulse.functions import elapsed_micros, mean_hours
+
+    rows = [(T(2024, 1, 1), T(2024, 1, 1, i % 24, i % 60, 7 * i % 60, 13 * i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    want = sum((b - a).total_seconds() for a, b in rows) / 500 / 3600
+    got = {df.repartition(n).orderBy(F.rand(n)).agg(mean_hours(elapsed_micros("a", "b"))).first()[0] for n in (1, 3, 7)}
+    assert len(got) == 1 and abs(got.pop() - want) < 1e-9
+
+
+def test_weekly_table_is_written_sorted(spark, tmpdir_path):
+    import pyarrow.parquet as pq
+
+    raw = _raw(spark, commits=[c(str(i), f"e{i % 9}", "a", T(2024, 1, 1 + i % 28)) for i in range(300)])
+    marts.write_weekly_trends(marts.fct_engineer_weekly_trends(staging.staging(raw)), tmpdir_path)
+    import glob
+    files = glob.glob(f"{tmpdir_path}/repo=*/*.parquet")
+    for name in files:
+        t = pq.ParquetFile(name).read()
+        keys = list(zip(t["engineer_login"].to_pylist(), t["week_start"].to_pylist()))
+        assert keys == sorted(keys)
+    assert files
