@@ -220,45 +220,55 @@ def _anchor_hashes(length, gram):
 def _anchor_rows(length, gram):
     def run(batches):
         for batch in batches:
-            row, h, first, count = batch_anchors(*vec.buffers(batch.column(1)), length, gram)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column(0).take(pa.array(row)),
-                 pa.array((first << 8 | count).astype(np.int64))], ["h", "key", "run"])
+            row, h, _, _ = batch_anchors(*vec.buffers(batch.column(1)), length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(pa.array(row))], ["h", "key"])
 
     return run
 
 
-def _contexts(length):
-    """Rows (key, text, found: array of (h, run, hot)) to rows of _ROW: contexts, and spans (no context) of contexts
-    that equal an earlier one of the batch."""
+def _among(row, h, lists) -> np.ndarray:
+    """Whether lists[row] (an array column of hashes) has h."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    owner = np.repeat(np.arange(len(lists), dtype=np.uint64), np.diff(lists.offsets.to_numpy()))
+    known = lists.flatten().to_numpy().view(np.uint64)
+    pair = lambda r, x: vec.mix(x ^ vec.mix(r.astype(np.uint64) + np.uint64(1)))
+    return np.isin(pair(row, h), pair(owner, known))
+
+
+def _contexts(length, gram):
+    """Rows (key, text, found, hot: arrays of anchor hashes that recur) to rows of _ROW: contexts, and spans (no context)
+    of contexts that equal an earlier one of the batch. Anchors are found anew in the text, so none of their places
+    had to be sent."""
 
     def run(batches):
         for batch in batches:
             kept: dict = {}
             spans = []
-            for doc, text, found in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                raw = text.encode()
-                for one in found:
-                    first, count = one["run"] >> 8, one["run"] & 255
-                    if one["hot"]:
-                        data = np.frombuffer(raw, np.uint8, count + length - 1, first)
-                        at = np.arange(count)
-                        codes = vec.span_hash(vec.prefix_hash(data), at, at + length).view(np.int64).tolist()
-                        parts = [(c, first + k, raw[first + k : first + k + length]) for k, c in enumerate(codes)]
-                    else:
-                        parts = [(0, first, raw[first : first + count + length - 1])]
-                    for code, place, context in parts:
-                        key, mine = (one["h"], code, context), (doc, place)
-                        other = kept.setdefault(key, mine)
-                        if other != mine:
-                            late = max(other, mine)
-                            kept[key] = min(other, mine)
-                            spans.append((*late, len(context)))
+            data, offsets = vec.buffers(batch.column(1))
+            row, h, first, count = batch_anchors(data, offsets, length, gram)
+            is_hot = _among(row, h, batch.column(3))
+            take = np.flatnonzero(is_hot | _among(row, h, batch.column(2)))
+            raw, docs = data.tobytes(), batch.column(0).to_pylist()
+            for r, anchor, place, n, hot, at in zip(
+                    row[take].tolist(), h[take].view(np.int64).tolist(), first[take].tolist(), count[take].tolist(),
+                    is_hot[take].tolist(), (offsets[row] + first)[take].tolist()):
+                if hot:
+                    part, inner = np.frombuffer(raw, np.uint8, n + length - 1, at), np.arange(n)
+                    codes = vec.span_hash(vec.prefix_hash(part), inner, inner + length).view(np.int64).tolist()
+                    parts = [(c, place + k, raw[at + k : at + k + length]) for k, c in enumerate(codes)]
+                else:
+                    parts = [(0, place, raw[at : at + n + length - 1])]
+                for code, begin, context in parts:
+                    key, mine = (anchor, code, context), (docs[r], begin)
+                    other = kept.setdefault(key, mine)
+                    if other != mine:
+                        kept[key] = min(other, mine)
+                        spans.append((*max(other, mine), len(context)))
             if kept:
                 keys, places = zip(*kept.items())
-                h, w, context = zip(*keys)
+                anchor, w, context = zip(*keys)
                 doc, place = zip(*places)
-                yield _batch(h, w, doc, place, list(map(len, context)), context)
+                yield _batch(anchor, w, doc, place, list(map(len, context)), context)
             if spans:
                 doc, place, size = zip(*spans)
                 yield _batch(doc, place, doc, place, size, [None] * len(spans))  # spread over the shards
@@ -377,9 +387,10 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_a
     rest = texts.join(copies, "key", "left").where(F.col("size").isNull()).select("key", "text")
     twice = (rest.select("text").mapInArrow(_anchor_hashes(length, gram), "h long").groupBy("h").count()
              .where(F.col("count") > 1).select("h", (F.col("count") > hot_anchor).alias("hot")))
-    found = (rest.mapInArrow(_anchor_rows(length, gram), "h long, key long, run long").join(twice, "h")
-             .groupBy("key").agg(F.collect_list(F.struct("h", "run", "hot")).alias("found")))
-    contexts = texts.join(found, "key").select("key", "text", "found").mapInArrow(_contexts(length), _ROW)
+    found = (rest.mapInArrow(_anchor_rows(length, gram), "h long, key long").join(twice, "h")
+             .groupBy("key").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("found"),
+                                 F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot")))
+    contexts = texts.join(found, "key").select("key", "text", "found", "hot").mapInArrow(_contexts(length, gram), _ROW)
     shards = contexts.repartition(parts, "h", "w").sortWithinPartitions("h", "w")
     spans = shards.mapInArrow(_shards(length, chunk_bytes), "key long, span long")
     whole = copies.select("key", F.col("size").cast("long").alias("span"))  # from 0 to size
