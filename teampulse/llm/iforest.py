@@ -1,7 +1,7 @@
 """Quality rules with an isolation forest (operator 1).
 
-Rules count words, symbols, repeated lines and repeated 8-word windows of a
-whole text. Their ratios are the statistics of an isolation forest: trees of
+Rules count words, symbols, capitals, repeated lines, words said twice in a row
+and repeated 8-word windows of a whole text. Their ratios are the statistics of an isolation forest: trees of
 random splits, each grown on `SAMPLE` rows; a row that few splits isolate is
 anomalous, score 2^(-mean path length / c(SAMPLE)).
 
@@ -25,14 +25,14 @@ from teampulse.llm.frames import filtered, stored
 TREES = 128
 SAMPLE = 256
 SCORE_STEPS = 2000
-COST = 20.0
+COST = 50.0
 WINDOW = 8
 MIN_WORDS = 20
 #: Threshold where no row is labelled: the usual mark of a clear anomaly.
 UNCALIBRATED = 0.7
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-EXTRA = ["n_lines", "n_line_end", "n_upper", "n_letters"]
+EXTRA = ["n_lines", "n_same_words", "n_upper", "n_letters"]
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _LEAD = (np.arange(256) & 0xC0) != 0x80
 
@@ -106,8 +106,11 @@ def rule_counts(data, offsets) -> dict[str, np.ndarray]:
             continue
         total = vec.prefix_hash(piece)
         ids = _exact_ids(piece, starts, ends, vec.span_hash(total, starts, ends))
-        ender = upto(np.isin(piece[ends - 1], np.frombuffer(b".!?", np.uint8)))
-        out["n_line_end"][i:j] = ender[first[1:]] - ender[first[:-1]]
+        same = np.zeros(len(ids), bool)  # equal to the word before it in the text
+        same[1:] = ids[1:] == ids[:-1]
+        same[first[:-1][first[:-1] < len(ids)]] = False
+        same = upto(same)
+        out["n_same_words"][i:j] = same[first[1:]] - same[first[:-1]]
         raw = piece.tobytes()
         for r in range(j - i):
             a, b = first[r], first[r + 1]
@@ -125,12 +128,14 @@ def base_failed(counts) -> np.ndarray:
 
 
 def statistics(c) -> np.ndarray:
-    """Ratios, one row each: none grows with the length of the text."""
+    """Ratios, one row each: none grows with the length of the text. Few symbols count for much, one repeated line of a
+    short text for little."""
     n = np.maximum(c["n_words"], 1)
     return np.stack([
-        c["n_symbols"] / n,
+        np.log1p(20 * c["n_symbols"] / n),
         c["n_repeat_words"] / n,
-        c["n_dup_lines"] / np.maximum(c["n_lines"], 1),
+        c["n_dup_lines"] / (c["n_lines"] + 4),
+        c["n_same_words"] / n,
         c["n_upper"] / np.maximum(c["n_letters"], 1),
         np.log1p(c["word_chars"] / n),
     ], axis=1)
