@@ -9,7 +9,7 @@ needs it learns from the rows that the stage before it kept.
 from __future__ import annotations
 
 from teampulse.llm import iforest, packing, simhash, suffix, toxicity
-from teampulse.llm.frames import stored, table
+from teampulse.llm.frames import small_batches, stored, table
 
 #: No SQL: the stages hash shingles by XXH64, fit models and tokenise. Tested against brute force instead.
 ORACLE_SQL = None
@@ -17,26 +17,31 @@ ORACLE_SQL = None
 
 def toxicity_stage(spark, docs, sf_dir):
     """Operator 8: rows that score at or over the threshold go."""
+    small_batches(spark)
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_stage(spark, docs, sf_dir):
     """Operator 1: rows that fail the base rule or the forest go."""
+    small_batches(spark)
     return iforest.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
     """Operator 10 (4-word shingles, 4 bits): of each class the row with the smallest id stays."""
+    small_batches(spark)
     return simhash.keep_first(docs, k=4, max_bits=4)
 
 
 def repeated_string_stage(spark, docs, sf_dir):
     """Operator 5: bytes of strings of 100 bytes that also start earlier go; every row stays."""
+    small_batches(spark)
     return suffix.without_repeats(docs)
 
 
 def packing_stage(spark, docs, sf_dir):
     """Operator 9: pieces of sequences of at most 2048 ids."""
+    small_batches(spark)
     return packing.packed(docs)
 
 

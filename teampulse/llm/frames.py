@@ -15,7 +15,17 @@ from teampulse.session import scratch_path
 PARTITION_BYTES = 64 << 20
 
 
+#: Rows and bytes of an Arrow batch for the Python workers, so that a batch of long texts stays small.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    for key, value in BATCH_CONF.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

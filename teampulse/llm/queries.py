@@ -27,7 +27,7 @@ def op4_minhash_fingerprints(spark, sf_dir):
 
 
 def op5_suffix_array_dedup(spark, sf_dir):
-    return suffix.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix.deduplicated(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_bpe(spark, sf_dir):

@@ -44,9 +44,11 @@ LENGTH = 100
 GRAM = 32
 HOT_ANCHOR = 20_000
 #: Bytes of contexts that a shard takes at a time, at least one anchor's.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Contexts that a task compares before it sends them on.
+COMBINED = 50_000
 #: Texts longer than this are read in pieces.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -264,14 +266,20 @@ def _contexts(length, gram):
                     if other != mine:
                         kept[key] = min(other, mine)
                         spans.append((*max(other, mine), len(context)))
-            if kept:
-                keys, places = zip(*kept.items())
-                anchor, w, context = zip(*keys)
-                doc, place = zip(*places)
-                yield _batch(anchor, w, doc, place, list(map(len, context)), context)
-            if spans:
-                doc, place, size = zip(*spans)
-                yield _batch(doc, place, doc, place, size, [None] * len(spans))  # spread over the shards
+                if len(kept) >= COMBINED:
+                    yield from sent(kept, spans)
+                    kept, spans = {}, []
+            yield from sent(kept, spans)
+
+    def sent(kept, spans):
+        if kept:
+            keys, places = zip(*kept.items())
+            anchor, w, context = zip(*keys)
+            doc, place = zip(*places)
+            yield _batch(anchor, w, doc, place, list(map(len, context)), context)
+        if spans:
+            doc, place, size = zip(*spans)
+            yield _batch(doc, place, doc, place, size, [None] * len(spans))  # spread over the shards
 
     return run
 
@@ -397,8 +405,8 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_a
     return spans.unionByName(whole).groupBy("key").agg(F.collect_list("span").alias("spans"))
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept: binary) of each row of docs.
+def deduplicated(docs: DataFrame, with_kept: bool = False, **options) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row of docs, and the bytes kept if asked.
 
     Null text reads as empty. Null ids sort before all others. Rows that repeat an id and a text count as one document
     and have equal results; different texts of one id are ordered by a hash. An empty table gives an empty result.
@@ -412,13 +420,15 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = text.encode()
                 kept, n = cut(raw, spans or ())
-                out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out)) if out else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+                out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
+            columns = list(zip(*out)) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                                             ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                                             ["key", *names])
 
-    results = source.mapInArrow(run, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    results = source.mapInArrow(run, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+                                + ", kept binary" * with_kept)
     if numbers is None:
         results = results.withColumnRenamed("key", "id")
     else:
@@ -426,7 +436,7 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
                            F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
         results = rows.join(numbers, ["id", "tie"]).join(results, "key")
     doc_id = F.when(F.col("id") != F.lit(_LOWEST).cast("bigint"), F.col("id")).cast(docs.schema["doc_id"].dataType)
-    return results.select(doc_id.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    return results.select(doc_id.alias("doc_id"), *names)
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:

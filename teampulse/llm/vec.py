@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 _ROOT = 0x9E3779B97F4A7C15 | 1
 _ROOT_INV = pow(_ROOT, -1, 1 << 64)
@@ -43,7 +43,7 @@ def powers(n: int):
     kept = worker_cache("powers")
     if len(kept.get("up", ())) <= n:
         for name, base in (("up", _ROOT), ("down", _ROOT_INV)):
-            p = np.full(max(2 * n, 1 << 20) + 1, base & 0xFFFFFFFFFFFFFFFF, U64)
+            p = np.full(max(2 * n, 1 << 18) + 1, base & 0xFFFFFFFFFFFFFFFF, U64)
             p[0] = 1
             kept[name] = np.multiply.accumulate(p)
     return kept["up"][: n + 1], kept["down"][: n + 1]
