@@ -60,6 +60,33 @@ def queries() -> dict:
                                    op9_packing, op10_simhash_neardup)}
 
 
+#: Each 100-byte string of a text with its place; those that are not the first of their kind cover what goes.
+OP5_SQL = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (
+  SELECT doc_id, s, b[s + 1 : s + 100] AS bytes FROM (SELECT doc_id, b, unnest(range(0, n - 99)) AS s FROM d) u),
+again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, s) AS nth FROM windows) w
+  WHERE nth > 1),
+runs AS (
+  SELECT doc_id, s, sum(begins) OVER (PARTITION BY doc_id ORDER BY s) AS run
+  FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS begins
+        FROM again) a),
+spans AS (SELECT doc_id, min(s) AS lo, max(s) + 100 AS hi FROM runs GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS z FROM spans
+  UNION ALL SELECT doc_id, max(hi), any_value(n) FROM spans JOIN d USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(hex(b[a + 1 : z]), '' ORDER BY a) AS digits FROM pieces JOIN d USING (doc_id) GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(r.n_removed, 0) AS n_removed, coalesce(r.n_spans, 0) AS n_spans,
+       sha256(coalesce(unhex(k.digits), d.b)) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict:
-    """None: every query hashes, fits a model, tokenises or reads HTML. tests/llm holds them against brute force."""
-    return {}
+    """SQL for operator 5. The others hash by XXH64, fit models, tokenise or read HTML: tests/llm holds them against
+    brute force."""
+    return {"op5_suffix_array_dedup": OP5_SQL}

@@ -40,4 +40,4 @@ def test_stages_in_order_and_take_effect(spark, tmp_path):
 def test_registered_names():
     names = list(queries.queries())
     assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
-    assert corpus_pipeline.ORACLE_SQL is None and queries.oracle_sql() == {}
+    assert corpus_pipeline.ORACLE_SQL is None and set(queries.oracle_sql()) <= set(names)

@@ -124,3 +124,16 @@ def test_one_long_text_is_read_in_pieces(monkeypatch):
     parts = suffix.batch_anchors(raw, np.array([0, 5000]))
     assert whole[3].sum() == parts[3].sum() == 4901
     assert set(whole[1].tolist()) == set(parts[1].tolist())
+
+
+def test_query_matches_its_sql(spark):
+    import duckdb
+
+    from teampulse.llm import queries
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    df = queries.op5_suffix_array_dedup(spark, sf)
+    sql = con.sql(queries.oracle_sql()["op5_suffix_array_dedup"])
+    assert sorted(sql.columns) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*sql.columns).collect())) == sorted(sql.fetchall())
