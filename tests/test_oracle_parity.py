@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from teampulse import oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("events", "orders", "lineitem", "supplier")
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(oracle.oracle_sql())
 
 
 @pytest.fixture(scope="module")
