@@ -108,6 +108,8 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
         prs = (_recent(raw["pull_requests"], repo, "merged_at", as_of, days)
                .where(F.col("author_login").isNotNull())
                .select(login_key("author_login").alias("engineer_login"), "pr_number", "merged_at", "title"))
+        if limit is not None:  # at most ``limit`` logins: only their titles are ranked
+            prs = prs.join(F.broadcast(top.select("engineer_login").distinct()), "engineer_login", "left_semi")
         top = with_titles(top, prs, ("engineer_login",), title_count)
     return top
 
