@@ -92,7 +92,7 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
     ``limit``, or with None the whole board. Ties at the cut are broken by
     login, then avatar URL. ``recent_pr_titles`` holds the newest
     ``title_count`` raw (untrimmed) titles of the engineer's PRs merged in the
-    window (0: no such column)."""
+    window (0: no such column). Rows come in order of rank, login and avatar."""
     _check(days, limit)
     scored = (leaderboard_activity(raw, repo, as_of, days, one_row_per_engineer)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR)
@@ -111,7 +111,7 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
         if limit is not None:  # at most ``limit`` logins: only their titles are ranked
             prs = prs.join(F.broadcast(top.select("engineer_login").distinct()), "engineer_login", "left_semi")
         top = with_titles(top, prs, ("engineer_login",), title_count)
-    return top
+    return top.orderBy("impact_rank", "engineer_login", "avatar_url")
 
 
 def leaderboard_page(raw: dict[str, DataFrame], repo: str, *, limit: int = K.DEFAULT_LIMIT, **options) -> DataFrame:
