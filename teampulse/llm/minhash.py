@@ -33,6 +33,16 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def sketches(data, offsets, k: int = SHINGLE, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
     """(bin values (rows x bins, uint64) after densification, rows with words) of a byte buffer."""
+    parts = [_bins(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k, bins) for i, j in vec.slices(offsets)]
+    if not parts:
+        return np.zeros((0, bins), np.uint64), np.zeros(0, bool)
+    table, has = np.concatenate([t for t, _ in parts]), np.concatenate([h for _, h in parts])
+    _densify(table, has)
+    return table, has
+
+
+def _bins(data, offsets, k: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin values, rows with words); empty bins hold _EMPTY."""
     rows = len(offsets) - 1
     starts, ends, first = vec.words(data, offsets)
     table = np.full(rows * bins, _EMPTY, np.uint64)
@@ -41,19 +51,40 @@ def sketches(data, offsets, k: int = SHINGLE, bins: int = BINS) -> tuple[np.ndar
         shift = np.uint64(64 - int(bins).bit_length() + 1)
         at = (h >> shift).astype(np.int64) + np.repeat(np.arange(rows), np.diff(begin)) * bins
         np.minimum.at(table, at, h & ((np.uint64(1) << shift) - np.uint64(1)))
-    table = table.reshape(rows, bins)
-    has = np.diff(first) > 0
-    _densify(table, has)
-    return table, has
+    return table.reshape(rows, bins), np.diff(first) > 0
+
+
+#: Bins that an empty bin looks at in its own fixed order; rows with fewer filled bins use the order's inverse.
+ATTEMPTS = 1 << 14
+FEW = 64
+
+
+def _orders(bins: int):
+    """(bin that each bin looks at, by attempt; first attempt at which bin b looks at bin j, by (b, j))."""
+    kept = vec.worker_cache("minhash")
+    if bins not in kept:
+        column = np.arange(bins, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        steps = np.arange(ATTEMPTS, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        looks = np.stack([(vec.mix(column + s) % np.uint64(bins)).astype(np.int16) for s in steps])
+        first = np.full((bins, bins), ATTEMPTS, np.int16)
+        for attempt in range(ATTEMPTS - 1, -1, -1):
+            first[np.arange(bins), looks[attempt]] = attempt
+        kept[bins] = looks[:4096].copy(), first
+    return kept[bins]
 
 
 def _densify(table, has):
     filled = table != _EMPTY
-    row, column = np.nonzero(~filled & has[:, None])
-    bins, attempt = table.shape[1], 0
-    while len(row):
-        probe = vec.mix(column.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt * 0xC2B2AE3D27D4EB4F % (1 << 64)))
-        source = (probe % np.uint64(bins)).astype(np.int64)
+    counts, bins = filled.sum(axis=1), table.shape[1]
+    looks, first = _orders(bins)
+    for r in np.flatnonzero(has & (counts < FEW)).tolist():
+        full = np.flatnonzero(filled[r])
+        source = full[first[:, full].argmin(axis=1)]
+        table[r] = np.where(filled[r], table[r], table[r, source])
+    row, column = np.nonzero(~filled & (counts >= FEW)[:, None])
+    attempt = 0
+    while len(row):  # about bins / counts attempts for most
+        source = looks[attempt][column].astype(np.int64)
         hit = filled[row, source]
         table[row[hit], column[hit]] = table[row[hit], source[hit]]
         row, column = row[~hit], column[~hit]
@@ -91,10 +122,7 @@ def likeness_of(x: str, y: str, bits: int = BITS) -> float:
 
 def fingerprint_texts(texts: list[str]) -> list[str]:
     data, offsets = vec.buffers(pa.array(texts, pa.large_string()))
-    out = []
-    for i, j in vec.slices(offsets):
-        out += pack(*sketches(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-    return out
+    return pack(*sketches(data, offsets))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,8 +182,7 @@ def _emit(ids, texts):
     """Result rows of texts[:-1]; each text is followed by its next."""
     edits = [edited(t, u) for t, u in zip(texts, texts[1:])]
     data, offsets = vec.buffers(pa.array(texts + edits, pa.large_string()))
-    tables = [sketches(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in vec.slices(offsets)]
-    table, has = np.concatenate([t for t, _ in tables]), np.concatenate([h for _, h in tables])
+    table, has = sketches(data, offsets)
     n = len(edits)
     own, after, edit = slice(0, n), slice(1, n + 1), slice(n + 1, None)
     names = [x.split()[0] for x in _OUT.split(", ")]
