@@ -36,15 +36,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame, bytes_per_partition: int = PARTITION_BYTES) -> int:
-    """Shuffle partitions for work in proportion to df's source: the session's number, or more for a larger source.
+def partitions_for(df: DataFrame, bytes_per_partition: int = PARTITION_BYTES, floor: int | None = None) -> int:
+    """Shuffle partitions for work in proportion to df's source: the session's number (or `floor`), or more for a larger source.
 
     Uses the size estimate of the optimised plan (file sizes), not a scan.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    floor = session if floor is None else floor
     # Spark's mark for an unknown size, or a part of it, is far above any table
-    return floor if size > 1 << 55 else max(floor, math.ceil(size / bytes_per_partition))
+    return max(floor, session) if size > 1 << 55 else max(floor, math.ceil(size / bytes_per_partition))
 
 
 def hex64(column: str):

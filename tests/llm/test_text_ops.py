@@ -160,6 +160,34 @@ def test_lm_losses_match_a_plain_count():
             assert abs(got[r] - (np.mean(bits) if bits else 0)) < 1e-4
 
 
+def test_lm_counts_every_word_and_pair_of_a_growing_vocabulary(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 40_000, 600))) for i in range(120)] + [(None, "w1 w2"), (3, "w5 w6 w5")]
+    aimed = {i for i in range(120) if i % 3}
+    texts, sums = [t.split() for _, t in rows], []
+    for own in (aimed, None):
+        uni, bi = {}, {}
+        for (i, _), ws in zip(rows, texts):
+            for u, w in zip([None, *ws], ws) if own is None or i in own else ():
+                uni[w] = uni.get(w, 0) + 1
+                bi[u, w] = bi.get((u, w), 0) + 1
+        sums.append((uni, bi, sum(uni.values())))
+    v, f = len(sums[1][0]), sums[0][2] / sums[1][2]
+    want = []
+    for (i, _), ws in zip(rows, texts):
+        means = []
+        for (uni, bi, size), scale in zip(sums, (1, f)):
+            p = [(uni.get(w, 0) * scale + 1) / (size * scale + v) for w in ws]
+            bits = [-np.log2(p[0])] + [-np.log2((bi.get((u, w), 0) * scale + lm.MIX * q) / (uni.get(u, 0) * scale + lm.MIX))
+                                       for u, w, q in zip(ws, ws[1:], p[1:])]
+            means.append(np.mean(bits))
+        want.append((str(i), len(ws), *means))
+    got = lm.cross_entropy_difference(C.documents(spark, rows), C.labels(spark, [(i, 1, 0) for i in aimed])).collect()
+    got = sorted((str(r.doc_id), r.n_words, r.target_bits, r.background_bits) for r in got)
+    assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(want)], rtol=0, atol=1e-9)
+
+
 def _insults(n=400):
     rng = np.random.default_rng(5)
     plain = [f"plain{k}" for k in range(300)]
