@@ -8,12 +8,21 @@ runs of a text are looked up, so a copied passage of GRAM + WINDOW - 1 template
 words is always hit. Hits of a template that lie near one diagonal form a
 candidate, whose words are aligned with the template's inside a band of at most
 `BAND` words around that diagonal (match +1, mismatch and gap -1, best local path).
-Matches that cover at least `COVERAGE` of a template are reported with their
-character span.
+A match is reported with its coverage and character span if it covers `COVERAGE`
+of a template or scores a passage that the index is sure to find; of a group of
+hits all such matches are. A match that is not an exact whole copy gives way to
+one of another template that explains its span better.
+
+Templates are the usual notices of public licenses and the full texts in
+`license_texts/`. Copies of long templates that leave out or change more than
+`GAP` words in a row are matched piece by piece.
 """
 
 from __future__ import annotations
 
+import heapq
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +33,9 @@ GRAM = 3
 WINDOW = 3
 BAND = 8
 COVERAGE = 0.7
+PASSAGE = GRAM + WINDOW - 1
+GAP = 256
+REACH = 16
 
 # Public license notices.
 TEMPLATES = {
@@ -58,6 +70,38 @@ TEMPLATES = {
     "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
+for _code, _name in {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial",
+                     "by-nd": "Attribution-NoDerivatives", "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+                     "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}.items():
+    for _version, _port in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+        TEMPLATES[f"cc-{_code}-{_version}-notice"] = f"This work is licensed under a Creative Commons {_name} {_version} {_port} License."
+        TEMPLATES[f"cc-{_code}-{_version}-short-notice"] = f"Licensed under CC {_code.upper()} {_version}."
+        TEMPLATES[f"cc-{_code}-{_version}-link"] = f"creativecommons.org/licenses/{_code}/{_version}"
+TEMPLATES |= {
+    "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "cc0-1.0-link": "creativecommons.org/publicdomain/zero/1.0",
+    "mit-short-notice": "Licensed under the MIT License.",
+    "apache-2.0-short-notice": "Released under the Apache License, Version 2.0.",
+    "bsd-3-clause-notice": "Released under the 3-Clause BSD License.",
+    "bsd-2-clause-notice": "Released under the 2-Clause BSD License.",
+    "bsd-style-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "isc-notice": "Released under the ISC License.",
+    "mpl-2.0-short-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                 "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                 "purpose, commercial or non-commercial, and by any means.",
+}
+for _code, _name in (("gpl", "GNU General Public License"), ("lgpl", "GNU Lesser General Public License"),
+                     ("agpl", "GNU Affero General Public License")):
+    for _version in {"gpl": ("2", "3"), "lgpl": ("2.1", "3"), "agpl": ("3",)}[_code]:
+        _key = f"{_code}-{_version if '.' in _version else _version + '.0'}"
+        TEMPLATES.setdefault(f"{_key}-notice", f"This work is licensed under the {_name}, version {_version}.")
+        TEMPLATES.setdefault(f"{_key}-header", (
+            f"This program is free software: you can redistribute it and/or modify it under the terms of the {_name} as published "
+            f"by the Free Software Foundation, either version {_version} of the License, or (at your option) any later version."))
+# Full texts; read here once, they travel to the workers by value.
+TEMPLATES |= {f"{_file.stem}-text": _file.read_text("utf-8") for _file in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
 _BETWEEN = np.ones(256, bool)
 for _low, _high in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _BETWEEN[_low:_high] = False
@@ -121,6 +165,11 @@ def align(text, template, shift: int, band: int = BAND):
 
     Returns (matched words, first text word, one past the last).
     """
+    return scored(text, template, shift, band)[1:]
+
+
+def scored(text, template, shift: int, band: int):
+    """align() with the score before it."""
     width = 2 * band + 1
     best = (0, 0, 0, 0)  # score, matches, begin, end
     prev = [(0, 0, -1)] * width  # score, matches, begin, for j = i - 1 + shift - band + c
@@ -144,41 +193,70 @@ def align(text, template, shift: int, band: int = BAND):
                     best = (cell[0], cell[1], cell[2], j + 1)
             row.append(cell)
         prev = row
-    return best[1:]
+    return best
 
 
 def scan(index: Index, h) -> list[tuple]:
     """(template, matched words, first word, one past the last) of the matches in a text of word hashes.
 
-    Per template the hits are taken in order of diagonal and place; a group ends where neighbours lie more than the
-    band's diagonals or a template's length apart. Of overlapping matches of one template the one with more words stays.
+    Per template hits form groups along a diagonal: neighbours lie at most the band's diagonals, and a template's length
+    (`GAP` for long ones), apart. Large groups come first; a group inside a match that is found is passed over. Hits of a
+    group before and after its best match are groups again. Of overlapping matches of one template the one with more words stays.
     """
     at, template, place = index.hits(grams(h))
     out = []
     for t in np.unique(template).tolist():
         own = np.flatnonzero(template == t)
-        order = own[np.argsort(at[own], kind="stable")]
-        words, group, groups = index.words[t], [], []
+        order = own[np.lexsort((place[own], at[own]))]
+        words = index.words[t]
         band = min(BAND, max(1, len(words) // 4))  # narrower than the words between two copies of a short template
-        for i in order.tolist():
-            d = at[i] - place[i]
-            if group and (abs(d - group[-1][0]) > band or at[i] - group[-1][1] > len(words)):
-                groups.append(group)
-                group = []
-            group.append((int(d), int(at[i])))
-        groups.append(group)
-        found = []
-        for group in groups:
+        gap, reach = min(len(words), GAP), len(words) if len(words) <= GAP else REACH
+        todo, found = [], []
+
+        def add(hits, low, high):
+            for group in _groups(hits, band, gap):
+                heapq.heappush(todo, (-len(group), group, low, high))
+
+        add([(int(at[i] - place[i]), int(at[i])) for i in order], 0, len(h))
+        while todo:
+            _, group, low, high = heapq.heappop(todo)
+            if any(m[2] <= group[0][1] and group[-1][1] + GRAM <= m[3] for m in found):
+                continue
             shift = sorted(d for d, _ in group)[len(group) // 2]
-            low = max(0, shift - 2 * band)
-            part = h[low : shift + len(words) + 2 * band]
-            matched, begin, end = align(part.tolist(), words, shift - low, band)
-            if matched >= COVERAGE * len(words):
-                found.append((t, matched, begin + low, end + low))
+            first = max(0, group[0][1] - shift - reach)
+            last = min(len(words), group[-1][1] - shift + GRAM + reach)
+            start = max(low, shift + first - 2 * band)
+            part = h[start : max(start, min(high, shift + last + 2 * band))]
+            score, matched, begin, end = scored(part.tolist(), words[first:last], shift + first - start, band)
+            begin, end = begin + start, end + start
+            if matched >= COVERAGE * len(words) or score >= PASSAGE:
+                found.append((t, matched, begin, end, score))
+            before, after = [x for x in group if x[1] + GRAM <= begin], [x for x in group if x[1] >= end]
+            if score and begin > low:
+                add(before, low, begin)
+            if score and end < high:
+                add(after, end, high)
         for m in sorted(found, key=lambda m: (-m[1], m[2])):
             if all(m[3] <= o[2] or o[3] <= m[2] for o in out if o[0] == t):
                 out.append(m)
-    return sorted(out, key=lambda m: (m[2], m[3], m[0]))
+    size = [len(w) for w in index.words]
+    best = [m for m in out if m[4] == size[m[0]] or not any(
+        o[0] != m[0] and o[2] <= m[2] and m[3] <= o[3] and (o[4], o[1] / size[o[0]]) > (m[4], m[1] / size[m[0]]) for o in out)]
+    return sorted((m[:4] for m in best), key=lambda m: (m[2], m[3], m[0]))
+
+
+def _groups(hits, band: int, gap: int) -> list[list[tuple]]:
+    """(diagonal, place) hits in order of place, each put to the group whose last hit is near in both, of these the nearest."""
+    groups, live = [], []
+    for d, place in hits:
+        live = [g for g in live if place - g[-1][1] <= gap]
+        near = min(live, key=lambda g: abs(d - g[-1][0]), default=None)
+        if near is None or abs(d - near[-1][0]) > band:
+            near = []
+            groups.append(near)
+            live.append(near)
+        near.append((d, place))
+    return groups
 
 
 def license_spans(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:

@@ -80,6 +80,22 @@ def test_license_lines_are_found_with_their_spans(spark):
     assert licenses.license_spans(C.empty(spark)).collect() == []
 
 
+def test_license_families_full_texts_and_parts_are_reported(spark):
+    mpl, mit = licenses.TEMPLATES["mpl-2.0-text"].split(), licenses.TEMPLATES["mit-permission"].split()
+    rows = [(1, "words Licensed under CC BY-NC 4.0. words"), (2, "Licensed under CC BY 4.0."), (3, " ".join(mpl)),
+            (4, "mine " * 9 + " ".join(mpl[700:900]) + " yours" * 9), (5, " ".join(mit[:20])),
+            (6, " ".join(mit[:14] + ["x"] * 30 + mit[44:]))]
+    got = licenses.license_spans(C.documents(spark, rows)).collect()
+    by = lambda i: {r.license: r for r in got if r.doc_id == i}
+    assert by(1)["cc-by-nc-4.0-short-notice"].coverage == 1 and "cc-by-4.0-short-notice" not in by(1)
+    assert by(2)["cc-by-4.0-short-notice"].coverage == 1 and "cc-by-nc-4.0-short-notice" not in by(2)
+    assert by(3)["mpl-2.0-text"].coverage > 0.99
+    part = by(4)["mpl-2.0-text"]
+    assert 0 < part.coverage < 0.2 and part.char_start == 45 and part.char_end >= 45 + len(" ".join(mpl[700:900])) - 1
+    assert 0.2 < by(5)["mit-permission"].coverage < 0.5
+    assert len([r for r in got if r.doc_id == 6 and r.license == "mit-permission"]) == 2
+
+
 def test_winnowing_keeps_one_of_every_window():
     g = np.random.default_rng(1).integers(0, 50, 200).astype(np.uint64)
     at = set(licenses.winnowed(g, 4).tolist())
