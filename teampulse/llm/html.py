@@ -2,7 +2,7 @@
 
 Every page is read into elements. An element's subtree hash covers its tag,
 class and id, its text and its children's hashes. Spark counts, per host, the
-pages on which each hash occurs; a subtree that recurs on at least `MIN_PAGES`
+different pages (by hash of the main part) on which each hash occurs; a subtree that recurs on at least `MIN_PAGES`
 pages and on `SHARE` of the host's pages belongs to the site's template and is
 deleted. Elements that say what they are (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles: by tag, role, class or id)
@@ -237,16 +237,25 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, hashes: array of the subtree hashes of its template), for hosts that have any."""
 
     def run(batches):
+        import xxhash
+
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, own, hashes = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = [None, *candidates(parse(page))] if page else [None]  # None counts the page
+                found, same = [None], 0  # None counts the page
+                if page:
+                    root = parse(page)
+                    found += candidates(root)
+                    same = _number(xxhash.xxh64(b"".join(n.digest for n in main_nodes(root))).digest())
                 hosts += [host] * len(found)
+                own += [same] * len(found)
                 hashes += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array(hashes, pa.int64())],
+                                             ["host", "page", "hash"])
 
     seen = (pages.select(host_of(F.col("url")).alias("host"), F.col("html"))
-            .mapInArrow(run, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n")))
+            .mapInArrow(run, "host string, page long, hash long")
+            .groupBy("host", "hash").agg(F.count_distinct("page").alias("n")))
     recurring = seen.where(F.col("hash").isNotNull() & (F.col("n") >= MIN_PAGES))
     totals = seen.where(F.col("hash").isNull()).select("host", F.col("n").alias("pages"))
     return (recurring.join(totals, "host").where(F.col("n") >= F.col("pages") * SHARE)
@@ -257,7 +266,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages.
 
     Null or empty html gives an empty text; pages without a host share one ('' counts as a host). Repeated rows and
-    null ids get a result each (a row is a page in the counts); other columns are not used; an empty table gives an
+    null ids get a result each (pages with an equal main part are one page in the counts); other columns are not used; an empty table gives an
     empty result.
     """
     sites = templates(pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))

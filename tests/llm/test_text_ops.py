@@ -41,6 +41,16 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {r.text for r in html.extracted(_pages(spark, rows)).collect()} == {"All the text of this page."}
 
 
+def test_copies_of_a_page_with_many_paragraphs_keep_them(spark):
+    page = "<body>" + "".join(f"<p>Paragraph {k} of the page.</p>" for k in range(8)) + "</body>"
+    rows = [(n, f"https://h.example/{n}", page) for n in range(9)]
+    rows += [(20 + n, f"https://h.example/{20 + n}", f"<body><nav>{n}</nav><p>Own words of number {n}.</p><p>Paragraph 3 of the page.</p></body>")
+             for n in range(1)]
+    got = {r.page_id: r.text for r in html.extracted(_pages(spark, rows)).collect()}
+    assert {got[n] for n in range(9)} == {" ".join(f"Paragraph {k} of the page." for k in range(8))}
+    assert got[20] == "Own words of number 0. Paragraph 3 of the page."
+
+
 def test_template_counts_pages_of_the_host(spark):
     box = "<div class=box>Box</div>"
     rows = [(n, f"http://a.example/{n}", f"<body>{box if n < k else ''}<p>Text number {n} is its own.</p></body>")
