@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, html, iforest, licenses, lm, minhash, packing, simhash, suffix, toxicity
+from teampulse.llm import bpe, exact, html, iforest, licenses, lm, minhash, packing, simhash, suffix, toxicity
 from teampulse.llm.frames import hex64, table
 
 
@@ -51,13 +51,18 @@ def op10_simhash_neardup(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op11_exact_dedup(spark, sf_dir):
+    out = exact.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (pipeline, op1_quality_rules, op2_lm_scoring, op3_license_scan, op4_minhash_fingerprints, op5_suffix_array_dedup, op6_byte_bpe, op7_html_extraction, op8_toxicity,
-                                   op9_packing, op10_simhash_neardup)}
+                                   op9_packing, op10_simhash_neardup, op11_exact_dedup)}
 
 
 #: Each 100-byte string of a text with its place; those that are not the first of their kind cover what goes.
@@ -85,8 +90,17 @@ SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(r.n_removed, 0) AS n_removed,
 FROM d LEFT JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
 """
 
+#: Equal texts by a window over the text itself.
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
 
 def oracle_sql() -> dict:
-    """SQL for operator 5. The others hash by XXH64, fit models, tokenise or read HTML: tests/llm holds them against
+    """SQL for operators 5 and 11. The others hash by XXH64, fit models, tokenise or read HTML: tests/llm holds them against
     brute force."""
-    return {"op5_suffix_array_dedup": OP5_SQL}
+    return {"op5_suffix_array_dedup": OP5_SQL, "op11_exact_dedup": OP11_SQL}
