@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from teampulse.operators.ranking import rank_desc, rank_top_k, top_n_per_group
+from teampulse.operators.ranking import positions, rank_desc, rank_top_k, top_n_per_group
 
 
 def _rows(df):
@@ -72,3 +72,58 @@ def test_board_insights_compute_the_board_once(spark):
     for name, scans in (("profile_badge_relative", 4), ("podium_top3", 4), ("leaderboard_full", 4)):
         plan = Q.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan") <= 2 * scans if name == "leaderboard_full" else plan.count("FileScan") == scans
+
+
+def _positions_cases():
+    rnd = random.Random(11)
+    rows = [(f"e{i}", "hot", float(rnd.randint(0, 3))) for i in range(900)]           # runs longer than a range
+    rows += [(f"f{i}", "all-equal", 5.0) for i in range(400)]
+    rows += [(f"g{i}", None, None if i % 3 else 1.0) for i in range(60)]              # NULL group, NULL scores
+    rows += [(f"h{i}", f"r{i % 7}", float(rnd.randint(0, 9))) for i in range(100)]
+    return rows + [("twice", "r1", 4.0), ("twice", "r1", 4.0)]
+
+
+def test_positions_equal_windows(spark):
+    df = spark.createDataFrame(_positions_cases(), "e string, repo string, s double").repartition(5)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    for flag in ("true", "false"):  # one range for all rows, or many
+        spark.conf.set(coalesce, flag)
+        try:
+            for by in (["repo"], []):
+                w = Window.partitionBy(*by)
+                want = df.select("*", F.row_number().over(w.orderBy(F.col("s").desc(), "e")).cast("long").alias("n"),
+                                 F.rank().over(w.orderBy(F.col("s").desc())).cast("long").alias("rk"))
+                got = positions(df, by, "s", [F.col("e").asc()], row_number="n", rank="rk")
+                assert got.columns == want.columns
+                assert sorted(map(str, _rows_any(got))) == sorted(map(str, _rows_any(want)))
+        finally:
+            spark.conf.set(coalesce, before)
+
+
+def _rows_any(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_positions_of_one_repo_spread_over_ranges_and_join_on_no_score(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("e"), "id").alias("e"), F.lit("r").alias("repo"),
+                                    F.lit(2.0).alias("s"))
+    off = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        got = positions(df, ["repo"], "s", [F.col("e").asc()], row_number="n", rank="rk")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.agg(F.min("n"), F.max("n"), F.countDistinct("n"), F.max("rk")).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tuple(rows) == (1, 20_000, 20_000, 1)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert joins and not any(" s#" in line or "[s#" in line for line in joins)
+
+
+def test_positions_of_nothing(spark):
+    df = spark.createDataFrame([], "e string, repo string, s double")
+    assert positions(df, ["repo"], "s", row_number="n").count() == 0
