@@ -62,3 +62,21 @@ def filtered(df: DataFrame, text_col: str, keep) -> DataFrame:
             yield batch.filter(pa.array(keep(*vec.buffers(batch.column(place))), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+#: A key is hot when it holds more than one in so many rows.
+HOT_SHARE = 1024
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join of rows with facts, which have one row per key, whatever share of the rows a key has.
+
+    Keys with over 1/``HOT_SHARE`` of the rows, of which there are fewer than ``HOT_SHARE``, take their facts from a
+    broadcast; rows of all others meet theirs in a shuffle, where no key has more. `rows` is read several times.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = sizes.agg(F.sum("_rows").alias("_all"))
+    hot = sizes.crossJoin(F.broadcast(total)).where(F.col("_rows") * HOT_SHARE > F.col("_all")).select(*keys)
+    hot_facts = facts.join(F.broadcast(hot), keys, "left_semi")
+    cold = rows.join(F.broadcast(hot), keys, "left_anti").join(facts, keys)
+    return rows.join(F.broadcast(hot_facts), keys).unionByName(cold)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from teampulse.llm import bpe, exact, html, iforest, licenses, lm, minhash, packing, simhash, suffix, toxicity
+from teampulse.llm import bpe, exact, html, iforest, licenses, lm, minhash, packing, phrases, resample, simhash, suffix, toxicity
 from teampulse.llm.frames import hex64, table
 
 
@@ -56,13 +56,23 @@ def op11_exact_dedup(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_importance_resampling(spark, sf_dir):
+    out = resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op13_phrase_mining(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (pipeline, op1_quality_rules, op2_lm_scoring, op3_license_scan, op4_minhash_fingerprints, op5_suffix_array_dedup, op6_byte_bpe, op7_html_extraction, op8_toxicity,
-                                   op9_packing, op10_simhash_neardup, op11_exact_dedup)}
+                                   op9_packing, op10_simhash_neardup, op11_exact_dedup,
+                                   op12_importance_resampling, op13_phrase_mining)}
 
 
 #: Each 100-byte string of a text with its place; those that are not the first of their kind cover what goes.
