@@ -64,19 +64,27 @@ def filtered(df: DataFrame, text_col: str, keep) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-#: A key is hot when it holds more than one in so many rows.
+#: A key is hot when it holds more than one in so many rows; the rows of a hot key are spread over so many tasks' keys.
 HOT_SHARE = 1024
+SALTS = 64
 
 
-def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], size: str | None = None) -> DataFrame:
     """Inner equi-join of rows with facts, which have one row per key, whatever share of the rows a key has.
 
-    Keys with over 1/``HOT_SHARE`` of the rows, of which there are fewer than ``HOT_SHARE``, take their facts from a
-    broadcast; rows of all others meet theirs in a shuffle, where no key has more. `rows` is read several times.
+    The names of the keys with over 1/``HOT_SHARE`` of the rows, of which there are fewer than ``HOT_SHARE``, are
+    broadcast. Their rows get one of ``SALTS`` salts by a hash of the row, their facts one row for each; all others have
+    salt 0. ``size``: a column of facts that says how many rows a key has, dropped here; without it rows are counted.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if size is None:
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        sizes, facts = facts.select(*keys, F.col(size).alias("_rows")), facts.drop(size)
     total = sizes.agg(F.sum("_rows").alias("_all"))
-    hot = sizes.crossJoin(F.broadcast(total)).where(F.col("_rows") * HOT_SHARE > F.col("_all")).select(*keys)
-    hot_facts = facts.join(F.broadcast(hot), keys, "left_semi")
-    cold = rows.join(F.broadcast(hot), keys, "left_anti").join(facts, keys)
-    return rows.join(F.broadcast(hot_facts), keys).unionByName(cold)
+    hot = (sizes.crossJoin(F.broadcast(total)).where(F.col("_rows") * HOT_SHARE > F.col("_all"))
+           .select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_hot")
+    copies = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")

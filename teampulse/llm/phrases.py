@@ -32,9 +32,9 @@ MAX_WORDS = 4
 #: A chunk has this many words on average, where its piece is long enough.
 TRIGGER = 32
 #: Input bytes for each part of the dictionary.
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 #: Chunk bytes that a task combines before it sends them on.
-COMBINE_BYTES = 16 << 20
+COMBINE_BYTES = 8 << 20
 NO_LANGUAGE = "und"
 
 PIECE_END = np.zeros(256, bool)
@@ -254,11 +254,16 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     def run(start, length):
         return F.array_join(F.slice(words, start, length), " ")
 
-    # cuts: both parts are frequent, as they occur wherever the phrase does
-    cut = many.select("lang", "phrase", "size", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), (F.col("size") - 1).cast("int"))).alias("k"))
-    cut = cut.select("*", run(F.lit(1), F.col("k")).alias("head"), run(F.col("k") + 1, (F.col("size") - F.col("k")).cast("int")).alias("rest"))
-    cut = looked_up(cut, f.select("lang", F.col("phrase").alias("head"), F.col("n").alias("l")), ["lang", "head"])
-    cut = looked_up(cut, f.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "rest"])
+    # both parts of a cut are frequent, as they occur wherever the phrase does; each looks up its count
+    k, size = F.col("k"), F.col("size")
+    cut = many.select("lang", "phrase", "size", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), (size - 1).cast("int"))).alias("k"))
+    parts = stored(cut.select("lang", "phrase", "a", "k", F.explode(F.array(
+        F.struct(F.lit(True).alias("head"), run(F.lit(1), k).alias("part")),
+        F.struct(F.lit(False).alias("head"), run(k + 1, (size - k).cast("int")).alias("part")))).alias("p")).select(
+        "lang", "phrase", "a", "k", "p.head", "p.part"), "phrase-cuts")
+    found = looked_up(parts, f.select("lang", F.col("phrase").alias("part"), F.col("n").alias("m")), ["lang", "part"])
+    cut = found.groupBy("lang", "phrase", "k").agg(F.max("a").alias("a"), F.max(F.when(F.col("head"), F.col("m"))).alias("l"),
+                                                   F.max(F.when(~F.col("head"), F.col("m"))).alias("r"))
     a, both = F.col("a").cast("decimal(19,0)"), F.col("l").cast("decimal(19,0)") + F.col("r").cast("decimal(19,0)")
     scaled = (F.lit(2000000).cast("decimal(7,0)") * a)
     cut = cut.withColumn("score", ((scaled - scaled % both) / both).cast("long"))
