@@ -10,14 +10,17 @@ Statement-by-statement semantics of a batch sent in order:
   overwrite, never ``coalesce(new, old)``);
 * the load stamp column is set to the load time on every touched row.
 
-The batch numbers its rows in ``seq_col`` (an integer, unique within a key).
-
-Plan: one hash aggregation of the batch by key (smallest and largest number;
-partial before the shuffle), joins that pick those two rows, and one full outer
-join with the stored table, all on the key. Keys are unique on both sides, so
-the last join is 1:1 and cannot fan out. With ``scope`` set, only the stored
-rows of the scopes that the batch touches are read and returned;
-``sources.raw.upsert_into`` does the same by key bucket, which fits any key.
+The batch is ordered by its sequence columns; rows that agree in them are
+ordered by a hash of the row, so a repeated row counts once and the outcome
+never depends on how Spark deals the rows out. A NULL in a key column fails
+the job: such a row can't be merged and must not vanish.
+
+Plan: one aggregation of the batch by key, which takes the first and the last
+row of each key in one reading, and one full outer join with the stored table.
+Keys are unique on both sides, so the join is 1:1 and cannot fan out. With
+``scope`` set, only the stored rows of the scopes that the batch touches are
+read and returned; ``sources.store`` keeps the stored side in buckets of the
+key, so it is not exchanged at all.
 """
 
 from __future__ import annotations
@@ -25,44 +28,48 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.functions.columns import ts_lit
 
+FIRST, LAST = "_first", "_last"
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str], *, seq_col: str = "_seq",
-           stamp_col: str | None = "extracted_at", loaded_at: dt.datetime | None = None,
-           scope: Sequence[str] = ()) -> DataFrame:
-    keys, update_cols = list(keys), list(update_cols)
-    cols = existing.columns
-    missing = [c for c in keys + update_cols if c not in cols]
-    if missing:
-        raise ValueError(f"unknown columns {missing}")
-    if seq_col not in incoming.columns:
-        raise ValueError(f"incoming batch needs an ordering column {seq_col!r}")
-    if not set(scope) <= set(keys):
-        raise ValueError("scope columns must be part of the key")
+
+def _columns(cols: Sequence[str], keys: Sequence[str], update_cols: Sequence[str], stamp_col: str | None):
+    """(insert-only columns, the stamp column or nothing) of a table."""
     stamp = [stamp_col] if stamp_col and stamp_col in cols else []
-    insert_cols = [c for c in cols if c not in keys and c not in update_cols and c not in stamp]
+    return [c for c in cols if c not in keys and c not in update_cols and c not in stamp], stamp
 
-    # the first and the last row of each key, found by its smallest and largest sequence number (hash aggregates of
-    # fixed-width values); equal numbers would make a row's place ambiguous, so a batch must number its rows
-    ends = incoming.groupBy(*keys).agg(F.min(seq_col).alias("_lo"), F.max(seq_col).alias("_hi"))
-    first = (incoming.join(ends, keys).where(F.col(seq_col) == F.col("_lo"))
-             .select(*keys, *[F.col(c).alias("_i_" + c) for c in insert_cols], F.lit(True).alias("_in_batch")))
-    last = (incoming.join(ends, keys).where(F.col(seq_col) == F.col("_hi"))
-            .select(*keys, *[F.col(c).alias("_i_" + c) for c in update_cols + stamp]))
-    batch = first.join(last, keys)
 
-    stored = existing
-    if scope:
-        stored = stored.join(batch.select(*scope).distinct(), list(scope), "left_semi")
-    stored = stored.select(*keys, *[F.col(c).alias("_e_" + c) for c in cols if c not in keys],
-                           F.lit(True).alias("_in_table"))
+def condensed(incoming: DataFrame, cols: Sequence[str], keys: Sequence[str], update_cols: Sequence[str], *,
+              seq_col: str | Sequence[str] = "_seq", stamp_col: str | None = "extracted_at") -> DataFrame:
+    """One row per key of the batch: the key, ``_first`` (insert-only columns of its first row) and ``_last`` (update
+    columns and stamp of its last row), each a struct, or without any columns absent."""
+    seqs = [seq_col] if isinstance(seq_col, str) else list(seq_col)
+    if not seqs or not set(seqs) <= set(incoming.columns):
+        raise ValueError(f"incoming batch needs its ordering columns {seqs!r}")
+    keys, update_cols = list(keys), list(update_cols)
+    insert_cols, stamp = _columns(cols, keys, update_cols, stamp_col)
+    order = F.struct(*seqs, F.xxhash64(*[c for c in cols if c in incoming.columns]))
+    present: list[Column] = [
+        F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(incoming.schema[k].dataType)).alias(k)
+        for k in keys]
+    out = []
+    if insert_cols:
+        out.append(F.min_by(F.struct(*insert_cols), order).alias(FIRST))
+    if update_cols + stamp:
+        out.append(F.max_by(F.struct(*update_cols, *stamp), order).alias(LAST))
+    return incoming.groupBy(*present).agg(*(out or [F.count(F.lit(1)).alias("_rows")]))
 
-    j = stored.join(batch, keys, "full_outer")
+
+def merged(stored: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str], *,
+           stamp_col: str | None = "extracted_at", loaded_at: dt.datetime | None = None) -> DataFrame:
+    """``stored`` after a ``condensed`` batch: one full outer join on the key."""
+    keys, cols = list(keys), stored.columns
+    insert_cols, stamp = _columns(cols, keys, update_cols, stamp_col)
+    old = stored.select(*keys, *[F.col(c).alias("_e_" + c) for c in cols if c not in keys], F.lit(True).alias("_in_table"))
+    j = old.join(batch.withColumn("_in_batch", F.lit(True)), keys, "full_outer")
     in_table = F.coalesce(F.col("_in_table"), F.lit(False))
     in_batch = F.coalesce(F.col("_in_batch"), F.lit(False))
     out = []
@@ -70,15 +77,31 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
         if c in keys:
             out.append(F.col(c))
         elif c in insert_cols:
-            out.append(F.when(in_table, F.col("_e_" + c)).otherwise(F.col("_i_" + c)).alias(c))
-        elif c in update_cols:
-            out.append(F.when(in_batch, F.col("_i_" + c)).otherwise(F.col("_e_" + c)).alias(c))
-        else:  # load stamp
-            now = ts_lit(loaded_at) if loaded_at is not None else F.col("_i_" + c)
+            out.append(F.when(in_table, F.col("_e_" + c)).otherwise(F.col(FIRST)[c]).alias(c))
+        else:
+            now = ts_lit(loaded_at) if c in stamp and loaded_at is not None else F.col(LAST)[c]
             out.append(F.when(in_batch, now).otherwise(F.col("_e_" + c)).alias(c))
     return j.select(*out)
 
 
+def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+           update_cols: Sequence[str], *, seq_col: str | Sequence[str] = "_seq",
+           stamp_col: str | None = "extracted_at", loaded_at: dt.datetime | None = None,
+           scope: Sequence[str] = ()) -> DataFrame:
+    keys, update_cols = list(keys), list(update_cols)
+    cols = existing.columns
+    missing = [c for c in keys + update_cols if c not in cols]
+    if missing:
+        raise ValueError(f"unknown columns {missing}")
+    if not set(scope) <= set(keys):
+        raise ValueError("scope columns must be part of the key")
+    batch = condensed(incoming, cols, keys, update_cols, seq_col=seq_col, stamp_col=stamp_col)
+    stored = existing
+    if scope:
+        stored = stored.join(batch.select(*scope).distinct(), list(scope), "left_semi")
+    return merged(stored, batch, keys, update_cols, stamp_col=stamp_col, loaded_at=loaded_at)
+
+
 def submitted_count(incoming: DataFrame) -> DataFrame:
     """Rows submitted in a batch (what a load reports, not rows changed)."""
     return incoming.agg(F.count(F.lit(1)).alias("submitted"))

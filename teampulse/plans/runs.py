@@ -1,12 +1,14 @@
 """Pipeline run roll-up (A10): task states of a run -> one run-log row.
 
 A run is a (run_id, repo) pair. Each task's latest attempt (by time) decides
-its state; a NULL state reads ``unknown``. The run succeeded iff every
-tracked task that ran ended in ``success``; a tracked task absent from the
-run is not a failure. A loaded count is reported only by an extract task
-whose latest attempt succeeded, else 0. Of attempts at the same time the one
-that sorts last counts. The latest time of each task is a hash aggregate, its
-row is joined to it, and a run's list holds its tracked tasks only.
+its state; a NULL state reads ``unknown``. An attempt without time counts too,
+as one before all that have a time. The run succeeded iff every tracked task
+that ran ended in ``success``; a tracked task absent from the run is not a
+failure. A loaded count is reported only by an extract task whose latest
+attempt succeeded, else 0. Of attempts at the same time the one that sorts last
+counts. ``run_at`` is the latest time of the run's attempts, NULL if none has
+one. One aggregation by run: a maximum per tracked task, combined before the
+exchange.
 """
 
 from __future__ import annotations
@@ -18,17 +20,10 @@ from teampulse import constants as K
 
 
 def rollup_runs(task_states: DataFrame) -> DataFrame:
-    keys = ["run_id", "repo", "task_id", "ts"]
-    latest = task_states.groupBy(*keys[:3]).agg(F.max("ts").alias("ts"))
-    task = F.struct("task_id", F.coalesce(F.col("state"), F.lit(K.STATE_UNKNOWN)).alias("state"), "loaded")
-    g = (task_states.join(latest, keys).groupBy("run_id", "repo").agg(
+    attempt = F.struct("ts", F.coalesce(F.col("state"), F.lit(K.STATE_UNKNOWN)).alias("state"), "loaded")
+    g = task_states.groupBy("run_id", "repo").agg(
         F.max("ts").alias("run_at"),
-        F.collect_list(F.when(F.col("task_id").isin(*K.TRACKED_TASKS), task)).alias("tasks")))  # a few per run
-
-    def last(t):
-        return F.array_max(F.filter("tasks", lambda x: x["task_id"] == t))
-
-    g = g.select("run_at", "repo", *[last(t).alias(f"_t_{t}") for t in K.TRACKED_TASKS])
+        *[F.max(F.when(F.col("task_id") == t, attempt)).alias(f"_t_{t}") for t in K.TRACKED_TASKS])
     g = g.select("run_at", "repo", *[F.col(f"_t_{t}.state").alias(f"_s_{t}") for t in K.TRACKED_TASKS],
                  *[F.when(F.col(f"_t_{t}.state") == K.STATUS_SUCCESS, F.col(f"_t_{t}.loaded")).alias(f"_n_{name}")
                    for name, t in K.COUNT_TASKS])

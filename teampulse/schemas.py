@@ -49,9 +49,13 @@ RAW = {
 
 
 
+#: What orders the rows of a batch: the landed document, and the row's place in it.
+BATCH_ORDER = ("_seq", "_place")
+
+
 def batch(table: str) -> StructType:
     """Rows of a batch for a raw table: its columns and their landing order."""
-    return StructType(RAW[table].fields + [StructField("_seq", L, True)])
+    return StructType(RAW[table].fields + [StructField("_seq", L, True), StructField("_place", I, True)])
 
 
 # Upsert keys per raw table.

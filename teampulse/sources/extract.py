@@ -127,10 +127,14 @@ def extract_merged_prs(landed: DataFrame, since: dt.datetime, repo: str | None =
 def extract_reviews(landed: DataFrame, repo: str | None = None,
                     extra_bots: tuple[str, ...] = ()) -> DataFrame:
     """S3: one row per (PR, review); bots and reviews without login,
-    submission time or state are dropped."""
+    submission time or state are dropped. Where a load has numbered the
+    documents (``_seq``), ``_place`` is the review's place in its document, so
+    that the two order the rows, reviews repeated in one document included."""
     p = parse(landed, "reviews", repo)
-    r = p.select("repo", *_order(p), F.col("d")["pr_number"].alias("pr_number"),
-                 F.explode(F.col("d")["reviews"]).alias("r"))
+    order = _order(p)
+    r = p.select("repo", *order, F.col("d")["pr_number"].alias("pr_number"),
+                 F.posexplode(F.col("d")["reviews"]).alias("_place", "r"))
+    order = [*order, "_place"] if order else []
     rv = F.col("r")
     return (r.where(~is_bot(rv["user"], extra_bots))
              .where(_truthy(rv["user"]["login"]) & _truthy(rv["submitted_at"]) & _truthy(rv["state"]))
@@ -138,7 +142,7 @@ def extract_reviews(landed: DataFrame, repo: str | None = None,
                      rv["user"]["login"].alias("reviewer_login"),
                      rv["user"]["type"].alias("reviewer_type"),
                      rv["state"].alias("state"),
-                     instant(rv["submitted_at"]).alias("submitted_at"), *_order(p)))
+                     instant(rv["submitted_at"]).alias("submitted_at"), *order))
 
 
 def extract_closed_issues(landed: DataFrame, since: dt.datetime, repo: str | None = None,

@@ -126,7 +126,7 @@ def task_states(events: DataFrame) -> DataFrame:
         F.when(k == 33, F.lit(None).cast("string"))
          .when(k % 10 == 0, F.lit("failed")).otherwise(F.lit("success")).alias("state"),
         k.alias("loaded"),
-        "ts", "repo")
+        F.when((k % 16 == 9) | (F.col("event_id") % 75 < 3), F.lit(None)).otherwise(F.col("ts")).alias("ts"), "repo")
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -244,12 +244,16 @@ def pull_payloads(raw: DataFrame) -> DataFrame:
 def review_payloads(raw: DataFrame) -> DataFrame:
     """One JSON document per PR with its list of reviews. A PR bucket holds at
     most five fixture events (pr_number = event_id - event_id % 5). Numbers 5
-    mod 35 have reviews with an empty state, 10 mod 35 with an empty login."""
+    mod 35 have reviews with an empty state, 10 mod 35 with an empty login, and
+    15 mod 35 list all their reviews twice, the second time with type Member."""
     item = F.struct(
         F.struct(F.when(F.col("pr_number") % 35 == 10, F.lit("")).otherwise(F.col("reviewer_login")).alias("login"),
                  F.col("reviewer_type").alias("type")).alias("user"),
         F.when(F.col("pr_number") % 35 == 5, F.lit("")).otherwise(F.col("state")).alias("state"), _iso(F.col("submitted_at")).alias("submitted_at"))
     per_pr = raw.groupBy("repo", "pr_number").agg(F.collect_list(item).alias("reviews"))
+    again = F.transform("reviews", lambda r: r.withField("user.type", F.lit("Member")))
+    per_pr = per_pr.withColumn("reviews", F.when(F.col("pr_number") % 35 == 15, F.concat("reviews", again))
+                               .otherwise(F.col("reviews")))
     return per_pr.select("repo", F.to_json(F.struct("pr_number", "reviews")).alias("value"))
 
 

@@ -48,10 +48,9 @@ def _extract(kind: str, landed: DataFrame, since: dt.datetime) -> DataFrame:
 
 
 def aligned(rows: DataFrame, kind: str) -> DataFrame:
-    schema = schemas.RAW[kind]
     present = set(rows.columns)
-    return rows.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                         for f in schema.fields], "_seq")
+    return rows.select(*[(F.col(f.name) if f.name in present else F.lit(0 if f.name == "_place" else None))
+                         .cast(f.dataType).alias(f.name) for f in schemas.batch(kind).fields])
 
 
 def in_landing_order(landed: DataFrame) -> DataFrame:
@@ -115,7 +114,8 @@ def merge_batch(batch: DataFrame, batch_id: int, *, kind: str, table_path: str,
     aligned(_extract(kind, batch, since), kind).write.parquet(staged)
     rows = spark.read.schema(schemas.batch(kind)).parquet(staged)
     current = read_current(spark, table_path, kind, before=batch_id)
-    merged = upsert(current, rows, schemas.KEYS[kind], UPDATE_COLS[kind], loaded_at=loaded_at)
+    merged = upsert(current, rows, schemas.KEYS[kind], UPDATE_COLS[kind],
+                    seq_col=schemas.BATCH_ORDER, loaded_at=loaded_at)
     merged.write.mode("overwrite").parquet(f"{table_path}/version={batch_id}")
     _remove(spark, staged)
     _drop_older(spark, table_path, batch_id)

@@ -52,8 +52,28 @@ def test_requires_sequence(spark):
         upsert(e, e, ["k", "repo"], ["upd"])
 
 
-def test_plan_has_no_sort_aggregate(spark):
+def test_batch_is_read_once(spark, tmpdir_path):
     e = spark.createDataFrame([], SCHEMA)
-    i = spark.createDataFrame([(1, "a", "n", "z", None, 0)], SCHEMA + ", _seq int")
-    plan = upsert(e, i, ["k", "repo"], ["upd"], loaded_at=LOAD)._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    spark.createDataFrame([(1, "a", "n", "z", None, 0)], SCHEMA + ", _seq int").write.mode("overwrite").parquet(tmpdir_path)
+    plan = upsert(e, spark.read.parquet(tmpdir_path), ["k", "repo"], ["upd"], loaded_at=LOAD)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Join") == 1
+
+
+def test_repeated_and_unordered_rows_count_once(spark):
+    row = (1, "r", "ins", "upd", None, 0)
+    assert _merge(spark, [], [row, row, row]) == {(1, "r"): ("ins", "upd", LOAD)}
+    ties = [(1, "r", f"i{n}", f"u{n}", None, 0) for n in range(6)]
+    assert len({tuple(_merge(spark, [], order)[(1, "r")]) for order in (ties, ties[::-1], ties[3:] + ties[:3])}) == 1
+
+
+def test_several_sequence_columns_order_a_batch(spark):
+    e = spark.createDataFrame([], SCHEMA)
+    i = spark.createDataFrame([(1, "r", "c", "c", None, 2, 0), (1, "r", "b", "b", None, 1, 9), (1, "r", "a", "a", None, 1, 1)],
+                              SCHEMA + ", _seq int, _place int")
+    got = upsert(e, i, ["k", "repo"], ["upd"], seq_col=("_seq", "_place"), loaded_at=LOAD).collect()
+    assert [(r.ins, r.upd) for r in got] == [("a", "c")]
+
+
+def test_null_key_fails_instead_of_vanishing(spark):
+    with pytest.raises(Exception, match="NULL in key column repo"):
+        _merge(spark, [], [(1, None, "a", "b", None, 0)])
