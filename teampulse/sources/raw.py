@@ -1,18 +1,19 @@
 """Raw tables, marts and the run log on storage.
 
 Layout: Parquet, partitioned by ``repo``; reports filter on repo first, so
-partition pruning and the pushed filters cut the scan.
+partition pruning and the pushed filters cut the scan. Tables that batches are
+merged into are in ``sources.store``.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from teampulse import schemas
-from teampulse.constants import UPDATE_COLS
-from teampulse.operators.merge import upsert
 
 
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -45,59 +46,17 @@ def write_mart(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
     write_table(df, path, mode="overwrite", sort_by=sort_by)
 
 
-# --- raw tables laid out by key bucket --------------------------------------
-
-BUCKET = "bucket"
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written at ``path``; errors other than its absence are raised."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def key_bucket(keys, buckets: int):
-    """Bucket of a key: the stored layout of an upserted table."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
-
-
-def write_bucketed(rows: DataFrame, path: str, keys, buckets: int, replace: str = "all") -> None:
-    write_table(rows.withColumn(BUCKET, key_bucket(keys, buckets)), path,
-                partition_by=(BUCKET,), sort_by=("repo",), replace=replace)
-
-
-def upsert_into(spark: SparkSession, path: str, table: str, incoming: DataFrame, *, buckets: int,
-                loaded_at, seq_col: str = "_seq") -> list[int]:
-    """Merge ``incoming`` into the stored bucketed table. Only the buckets that
-    the batch touches are read and written; their numbers (at most ``buckets``)
-    are returned. ``incoming`` should be cheap to read twice (a stored frame)."""
-    keys = schemas.KEYS[table]
-    touched = [r[0] for r in incoming.select(key_bucket(keys, buckets)).distinct().collect()]
-    stored = read_bucketed(spark, path, table, touched)
-    merged = upsert(stored, incoming, keys, UPDATE_COLS[table], seq_col=seq_col, loaded_at=loaded_at)
-    if touched:
-        write_bucketed(merged, path, keys, buckets, replace="touched")
-    return sorted(touched)
-
-
-def read_bucketed(spark: SparkSession, path: str, table: str, only: list[int] | None = None) -> DataFrame:
-    """A bucketed raw table, or those of its buckets that are listed."""
-    schema = schemas.RAW[table]
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(StructType(schema.fields + [StructField(BUCKET, IntegerType())])).parquet(path)
-    if only is not None:
-        df = df.where(F.col(BUCKET).isin(only) if only else F.lit(False))
-    return df.select(*schema.fieldNames())
-
-
-def append_run(runs: DataFrame, path: str) -> None:
-    """Append run-log rows; counts missing from a row read 0."""
+def append_run(runs: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Append run-log rows; counts missing from a row read 0. Rows appended under a ``run_id`` replace those of
+    an earlier attempt under the same id, so a run that is played again is logged once."""
     counts = ["commits_loaded", "prs_loaded", "reviews_loaded", "issues_loaded"]
     fixed = runs.select(*[(F.coalesce(F.col(c), F.lit(0)).cast("int") if c in counts else F.col(c)).alias(c)
                           for c in schemas.RAW_PIPELINE_RUNS.fieldNames()])
-    fixed.write.mode("append").parquet(path)
+    if run_id is not None and not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError("a run id has letters, digits, dots, dashes and underscores only")
+    fixed.write.mode("overwrite").parquet(f"{path}/run={run_id or uuid.uuid4().hex}")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RAW_PIPELINE_RUNS).parquet(path)
+    schema = schemas.RAW_PIPELINE_RUNS
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

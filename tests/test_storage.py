@@ -65,19 +65,12 @@ def test_one_large_repo_is_written_by_several_tasks(spark, tmpdir_path):
     assert len(files) > 1
 
 
-def test_upsert_into_touches_only_its_buckets(spark, tmpdir_path):
-    path = os.path.join(tmpdir_path, "raw")
-    old = spark.createDataFrame([(str(i), "ann", "u", "User", "m", T(2024, 1, 1), "org/a", None) for i in range(64)], RAW_COMMITS)
-    R.write_bucketed(old, path, ("sha",), 8)
-    files = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket=")}
-    row = ("7", "bo", "v", "User", "m2", T(2024, 1, 2), "org/a", None)
-    batch = spark.createDataFrame([(*row, 0)], "sha string, author_login string, author_avatar_url string, author_type string, message string, "
-                                  "committed_at timestamp_ntz, repo string, extracted_at timestamp_ntz, _seq long")
-    touched = R.upsert_into(spark, path, "commits", batch, buckets=8, loaded_at=T(2024, 2, 1))
-    assert len(touched) == 1
-    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("bucket=")}
-    assert {d for d in files if files[d] != after[d]} == {f"bucket={touched[0]}"}
-    got = {r.sha: r for r in R.read_bucketed(spark, path, "commits").collect()}
-    assert len(got) == 64 and (got["7"].author_login, got["7"].message) == ("bo", "m")
-    plan = R.read_bucketed(spark, path, "commits", touched)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+def test_a_run_played_again_is_logged_once(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "runs")
+    schema = ("run_at timestamp_ntz, repo string, status string, commits_loaded int, prs_loaded int, reviews_loaded int, "
+              "issues_loaded int, error_message string")
+    for status, run_id in (("failed", "2024-01-01"), ("success", "2024-01-01"), ("success", "2024-01-02")):
+        R.append_run(spark.createDataFrame([(T(2024, 1, 1), "org/a", status, 1, 1, 1, 1, None)], schema), path, run_id)
+    got = R.read_runs(spark, path)
+    assert got.columns == [f.split(" ")[0] for f in schema.split(", ")]
+    assert [r.status for r in got.collect()] == ["success", "success"]
