@@ -1,4 +1,4 @@
-"""The daily run: landed JSON -> keyed upserts -> staging -> both marts -> one run-log row."""
+"""The daily run: landed JSON -> keyed upserts -> both marts by changed groups -> one run-log row."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from teampulse import constants as K
 from teampulse import schemas
-from teampulse.plans import marts, runs, staging
+from teampulse.plans import refresh, runs
 from teampulse.session import scratch_path
 from teampulse.sources import extract as X
 from teampulse.sources import raw as R
+from teampulse.sources import store
 from teampulse.streaming.daily_load import aligned, in_landing_order
 
 
@@ -27,9 +28,11 @@ def _extracted(kind: str, landed: dict[str, DataFrame], since: dt.datetime) -> D
 
 
 def run(spark: SparkSession, landing: dict[str, str], warehouse: str, *, since: dt.datetime, as_of: dt.datetime,
-        loaded_at: dt.datetime, buckets: int, repo: str = "all") -> dict[str, str]:
+        loaded_at: dt.datetime, buckets: int, repo: str = "all", run_id: str | None = None) -> dict[str, str]:
     """One run over the landing folders (kind -> path). Returns the paths of the
-    raw tables by kind, of the marts ("impact", "weekly") and of the run log ("runs")."""
+    raw tables by kind (``store.read``), of the marts "impact" and "weekly"
+    (``refresh.read_mart``) and of the run log ("runs"). A run that is played
+    again under its ``run_id`` loads the same rows and is logged once."""
     paths = {kind: f"{warehouse}/raw/{kind}" for kind in X.KINDS}
     paths |= {"impact": f"{warehouse}/marts/impact", "weekly": f"{warehouse}/marts/weekly", "runs": f"{warehouse}/runs"}
     landed = {kind: in_landing_order(spark.read.text(path).select("*", "_metadata")) for kind, path in landing.items()}
@@ -38,11 +41,9 @@ def run(spark: SparkSession, landing: dict[str, str], warehouse: str, *, since:
         batch = scratch_path(spark, f"batch-{kind}")
         aligned(_extracted(kind, landed, since), kind).write.parquet(batch)
         rows = spark.read.schema(schemas.batch(kind)).parquet(batch)
-        R.upsert_into(spark, paths[kind], kind, rows, buckets=buckets, loaded_at=loaded_at)
+        store.upsert_into(spark, paths[kind], kind, rows, loaded_at=loaded_at, shards=buckets, buckets=buckets)
         tasks.append((0, task, K.STATUS_SUCCESS, rows.count(), loaded_at, repo))
-    stg = staging.staging({kind: R.read_bucketed(spark, paths[kind], kind) for kind in X.KINDS})
-    R.write_mart(marts.fct_engineer_impact(stg, as_of), paths["impact"], sort_by=("impact_rank",))
-    marts.write_weekly_trends(marts.fct_engineer_weekly_trends(stg), paths["weekly"])
+    refresh.refresh(spark, {kind: paths[kind] for kind in X.KINDS}, {m: paths[m] for m in ("impact", "weekly")}, as_of)
     tasks.append((0, K.TRACKED_TASKS[4], K.STATUS_SUCCESS, 0, loaded_at, repo))
-    R.append_run(runs.rollup_runs(spark.createDataFrame(tasks, schemas.TASK_STATES)), paths["runs"])
+    R.append_run(runs.rollup_runs(spark.createDataFrame(tasks, schemas.TASK_STATES)), paths["runs"], run_id)
     return paths

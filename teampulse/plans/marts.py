@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from teampulse import constants as K
 from teampulse.functions import elapsed_micros, impact_score, mean_hours, ts_lit, week_start, weekly_score
-from teampulse.operators.ranking import rank_desc, top_n_per_group
+from teampulse.operators.ranking import positions, rank_desc, top_n_per_group
 from teampulse.operators.sides import on_side, stack_sides
 from teampulse.sources.raw import write_mart
 
@@ -60,25 +60,35 @@ def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
         F.coalesce(mean_hours("micros"), F.lit(0.0)).alias("avg_hours_to_close_issue"))
 
 
-def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
-                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = K.RECENT_TITLES) -> DataFrame:
-    """``recent_pr_titles`` holds the newest ``title_count`` titles per
-    engineer and repo (0: no such column); the full list is ``pr_titles``."""
-    combined = engineer_activity(stg)
-    scored = (combined
+def scored_activity(stg: dict[str, DataFrame], floor: int = K.MART_ACTIVITY_FLOOR,
+                    title_count: int = K.RECENT_TITLES) -> DataFrame:
+    """Rows of the impact mart without rank: activity above the floor with its
+    score and, unless ``title_count`` is 0, the newest titles. These join on
+    the grain that both sides are already aggregated by."""
+    scored = (engineer_activity(stg)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > floor)
               .select("*", *score_columns()))
-    ranked = rank_desc(scored, ["repo"], "impact_score", "impact_rank", spread=GRAIN)
-    out = ranked.select(
+    return with_titles(scored, pr_titles(stg["pull_requests"]), GRAIN, title_count) if title_count else scored
+
+
+def impact_columns(ranked: DataFrame, as_of: dt.datetime, title_count: int = K.RECENT_TITLES) -> DataFrame:
+    """The mart's columns in order."""
+    return ranked.select(
         "engineer_login", "repo", "commits", "active_days", "prs_merged",
         "avg_discussion_per_pr", "reviews", "approvals", "changes_requested",
         "review_comments_given", "issues_closed", "avg_hours_to_close_issue",
         "impact_score", "score_from_prs", "score_from_catching_issues",
         "score_from_reviews", "score_from_issues", "score_from_commits",
-        "score_from_approvals", "impact_rank", ts_lit(as_of).alias("computed_at"))
-    if title_count:
-        out = with_titles(out, pr_titles(stg["pull_requests"]), GRAIN, title_count)
-    return out
+        "score_from_approvals", "impact_rank", ts_lit(as_of).alias("computed_at"),
+        *(["recent_pr_titles"] if title_count else []))
+
+
+def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
+                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = K.RECENT_TITLES) -> DataFrame:
+    """``recent_pr_titles`` holds the newest ``title_count`` titles per
+    engineer and repo (0: no such column); the full list is ``pr_titles``."""
+    ranked = rank_desc(scored_activity(stg, floor, title_count), ["repo"], "impact_score", "impact_rank", spread=GRAIN)
+    return impact_columns(ranked, as_of, title_count)
 
 
 def fct_engineer_weekly_trends(stg: dict[str, DataFrame]) -> DataFrame:
@@ -118,6 +128,19 @@ def ordered_pr_titles(stg_prs: DataFrame) -> DataFrame:
     return pr_titles(stg_prs).orderBy("repo", "engineer_login", F.col("merged_at").desc(), F.col("pr_number").desc())
 
 
+def pr_title_pages(stg_prs: DataFrame, page_size: int) -> DataFrame:
+    """The complete title lists in pages: one row per engineer, repo and page
+    (from 1) with an array of at most ``page_size`` titles, newest merge first,
+    then highest PR number. Places come from ``positions`` (a job at once), so
+    neither a list nor its numbering is ever in one task whole."""
+    if page_size < 1:
+        raise ValueError("a page has one title at least")
+    placed = positions(pr_titles(stg_prs), GRAIN, "merged_at", [F.col("pr_number").desc()], row_number="nth")
+    page = ((F.col("nth") - 1 - (F.col("nth") - 1) % page_size) / page_size + 1).cast("int")
+    titles = F.transform(F.array_sort(F.collect_list(F.struct("nth", "title"))), lambda x: x["title"])
+    return placed.groupBy(*GRAIN, page.alias("page")).agg(titles.alias("titles"))
+
+
 def title_arrays(titles: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
     """``keys`` + ``recent_pr_titles``: array of the newest ``n`` titles
     (merged_at desc, then pr_number desc). The top-n runs before any
