@@ -62,3 +62,31 @@ def weekly_reviews(stg: DataFrame) -> DataFrame:
     return (stg.groupBy(*KEY, week_start("submitted_at").alias("week_start"))
             .agg(F.count(F.lit(1)).alias("reviews"),
                  F.sum("is_changes_requested").cast("long").alias("changes_requested")))
+
+
+# --- active days as mergeable states ----------------------------------------
+
+#: Days of one bitmap: the bits of Spark's bitmap functions.
+DAY_BUCKET = ("engineer_login", "repo", "day_bucket")
+
+
+def active_day_states(stg_commits: DataFrame) -> DataFrame:
+    """One bitmap of commit days per engineer, repo and span of 32,768 days: a state that other states of the same
+    group merge with, whatever commits each was made from. Days lie in bitmaps by their number since 1970."""
+    day = F.unix_date("commit_date")
+    return (stg_commits.where(F.col("commit_date").isNotNull())
+            .groupBy(*KEY, F.bitmap_bucket_number(day).alias("day_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days")))
+
+
+def merged_day_states(*states: DataFrame) -> DataFrame:
+    """States of several loads as one."""
+    every = states[0]
+    for s in states[1:]:
+        every = every.unionByName(s)
+    return every.groupBy(*DAY_BUCKET).agg(F.bitmap_or_agg("days").alias("days"))
+
+
+def active_days(states: DataFrame) -> DataFrame:
+    """The exact number of different days of each engineer and repo, from merged states."""
+    return states.groupBy(*KEY).agg(F.sum(F.bitmap_count("days")).alias("active_days"))

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from teampulse import constants as K
 from teampulse.functions import in_window, login_key, week_start, weekly_score
-from teampulse.operators.ranking import rank_desc, rank_top_k
+from teampulse.operators.ranking import positions, rank_desc, rank_top_k, top_n_per_group
 from teampulse.operators.sides import on_side, stack_sides
 from teampulse.plans.marts import score_columns, with_titles
 
@@ -92,14 +92,18 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
     ``limit``, or with None the whole board. Ties at the cut are broken by
     login, then avatar URL. ``recent_pr_titles`` holds the newest
     ``title_count`` raw (untrimmed) titles of the engineer's PRs merged in the
-    window (0: no such column). Rows come in order of rank, login and avatar."""
+    window (0: no such column). Rows come in order of rank, login and avatar.
+
+    With ``limit`` None and ``with_position`` the place of every row of the
+    whole board is numbered by ``positions``, which runs a job at once."""
     _check(days, limit)
     scored = (leaderboard_activity(raw, repo, as_of, days, one_row_per_engineer)
               .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR)
               .select("*", *score_columns()))
-    if limit is None:
-        if with_position:
-            raise ValueError("positions need a limit")
+    if limit is None and with_position:
+        top = positions(scored, [], "impact_score", [F.col("engineer_login"), F.col("avatar_url")],
+                        row_number="position", rank="impact_rank")
+    elif limit is None:
         top = rank_desc(scored, [], "impact_score", "impact_rank", spread=("engineer_login", "avatar_url"))
     else:
         top = rank_top_k(scored, "impact_score", ["engineer_login", "avatar_url"], limit,
@@ -108,12 +112,91 @@ def leaderboard(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
         prs = (_recent(raw["pull_requests"], repo, "merged_at", as_of, days)
                .where(F.col("author_login").isNotNull())
                .select(login_key("author_login").alias("engineer_login"), "pr_number", "merged_at", "title"))
-        if limit is not None:  # at most ``limit`` logins: only their titles are ranked
-            prs = prs.join(F.broadcast(top.select("engineer_login").distinct()), "engineer_login", "left_semi")
         top = with_titles(top, prs, ("engineer_login",), title_count)
     return top.orderBy("impact_rank", "engineer_login", "avatar_url")
 
 
+def window_boards(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
+                  windows: tuple[int, ...] = K.VALID_DAYS, limit: int = K.DEFAULT_LIMIT) -> DataFrame:
+    """The boards of several windows from one reading of each raw table: the
+    rows of ``leaderboard(days=d, title_count=0)`` for each window, after a
+    column ``days``.
+
+    A row of a raw table counts in every window from the smallest that holds
+    it. Commits are first condensed to one state per person, avatar and day:
+    the smallest window that the day is in and the commits by window, so active
+    days of all windows are counts over these states, without a distinct
+    aggregate for each window."""
+    for days in windows:
+        _check(days, limit)
+    sizes = sorted(set(windows))
+
+    def first_window(ts: str) -> Column:
+        out = None
+        for i, days in enumerate(sizes):
+            held = in_window(ts, as_of, days)
+            out = F.when(held, i) if out is None else out.when(held, i)
+        return out.alias("_w")
+
+    def recent(df, ts, login):
+        return _recent(df, repo, ts, as_of, sizes[-1]).where(F.col(login).isNotNull()).withColumn("_w", first_window(ts))
+
+    each = list(range(len(sizes)))
+    login = login_key("author_login").alias("engineer_login")
+    by_day = recent(raw["commits"], "committed_at", "author_login").groupBy(
+        login, "author_avatar_url", F.to_date("committed_at").alias("day")).agg(
+        F.min("_w").alias("_day_w"), *[F.count(F.when(F.col("_w") == i, 1)).alias(f"_n{i}") for i in each])
+    commits = by_day.groupBy("engineer_login", "author_avatar_url").agg(
+        *[F.sum(sum((F.col(f"_n{j}") for j in range(i)), F.col(f"_n{i}"))).alias(f"commits_{i}") for i in each],
+        *[F.count(F.when(F.col("_day_w") <= i, 1)).alias(f"days_{i}") for i in each])
+    u = stack_sides({
+        "p": recent(raw["pull_requests"], "merged_at", "author_login").select(
+            login, "_w", (F.coalesce(F.col("review_comments"), F.lit(0)) + F.coalesce(F.col("comments"), F.lit(0))).alias("disc")),
+        "r": recent(raw["reviews"], "submitted_at", "reviewer_login").select(
+            login_key("reviewer_login").alias("engineer_login"), "_w", "state"),
+        "i": recent(raw["issues"], "closed_at", "closed_by_login").select(
+            login_key("closed_by_login").alias("engineer_login"), "_w"),
+    }, ["engineer_login"], {"_w": "int", "disc": "double", "state": "string"})
+    measures = []
+    for i in each:
+        held = F.col("_w") <= i
+        measures += [F.count(F.when(held, on_side("p"))).alias(f"prs_{i}"),
+                     F.avg(F.when(held, on_side("p", F.col("disc")))).alias(f"disc_{i}"),
+                     F.count(F.when(held, on_side("r"))).alias(f"reviews_{i}"),
+                     F.count(F.when(held & (F.col("state") == K.APPROVED), 1)).alias(f"approvals_{i}"),
+                     F.count(F.when(held & (F.col("state") == K.CHANGES_REQUESTED), 1)).alias(f"changes_{i}"),
+                     F.count(F.when(held, on_side("i"))).alias(f"issues_{i}")]
+    j = commits.join(u.groupBy("engineer_login").agg(*measures), "engineer_login", "full_outer")
+    z = F.lit(0).cast("long")
+
+    def row(i):
+        # an avatar without commits in a window is no row of its board; a person without any commits there is one
+        commits_ = F.coalesce(F.col(f"commits_{i}"), z)
+        return F.struct(
+            F.lit(sizes[i]).alias("days"),
+            F.when(commits_ > 0, F.coalesce(F.col("author_avatar_url"), F.lit(""))).otherwise(F.lit("")).alias("avatar_url"),
+            commits_.alias("commits"), F.coalesce(F.col(f"days_{i}"), z).alias("active_days"),
+            F.coalesce(F.col(f"prs_{i}"), z).alias("prs_merged"),
+            F.coalesce(F.col(f"disc_{i}"), F.lit(0.0)).alias("avg_discussion_per_pr"),
+            F.coalesce(F.col(f"reviews_{i}"), z).alias("reviews"), F.coalesce(F.col(f"approvals_{i}"), z).alias("approvals"),
+            F.coalesce(F.col(f"changes_{i}"), z).alias("changes_requested"),
+            F.coalesce(F.col(f"issues_{i}"), z).alias("issues_closed"))
+
+    rows = (j.select("engineer_login", F.explode(F.array(*[row(i) for i in each])).alias("b")).select("engineer_login", "b.*")
+            .where(F.col("commits") + F.col("prs_merged") + F.col("reviews") > K.API_ACTIVITY_FLOOR))
+    # of a person without commits in a window, one row however many avatars other windows have; not beside rows with commits
+    others = ["engineer_login", "days"]
+    idle = rows.where(F.col("commits") == 0).dropDuplicates(others)
+    idle = idle.join(rows.where(F.col("commits") > 0).select(*others).distinct(), others, "left_anti")
+    scored = rows.where(F.col("commits") > 0).unionByName(idle).select("*", *score_columns())
+    order = [F.col("impact_score").desc(), F.col("engineer_login").asc(), F.col("avatar_url").asc()]
+    if limit == 0:
+        scored, limit = scored.where(F.lit(False)), 1
+    top = top_n_per_group(scored, ["days"], order, limit, "_pos").drop("_pos")
+    ranked = top.withColumn("impact_rank", F.rank().over(Window.partitionBy("days").orderBy(F.col("impact_score").desc())).cast("long"))
+    return ranked.orderBy("days", "impact_rank", "engineer_login", "avatar_url")
+
+
 def leaderboard_page(raw: dict[str, DataFrame], repo: str, *, limit: int = K.DEFAULT_LIMIT, **options) -> DataFrame:
     """The board as a page: ``limit`` is at most ``MAX_LIMIT``."""
     if not 0 <= limit <= K.MAX_LIMIT:
@@ -183,12 +266,12 @@ def team_summary(raw: dict[str, DataFrame], repo: str, *, as_of: dt.datetime,
             .crossJoin(F.broadcast(issues)))
 
 
-def _run_order():
-    return [F.col("run_at").desc_nulls_first(), F.col("repo").asc(), F.col("status").asc(),
-            F.col("error_message").asc()]
+RUN_COUNTS = ["commits_loaded", "prs_loaded", "reviews_loaded", "issues_loaded"]
+RUN_COLUMNS = ["repo", "status", *RUN_COUNTS, "run_at", "error_message"]
 
-RUN_COLUMNS = ["repo", "status", "commits_loaded", "prs_loaded", "reviews_loaded",
-               "issues_loaded", "run_at", "error_message"]
+
+def _run_order():
+    return [F.col("run_at").desc_nulls_first(), *[F.col(c).asc() for c in ("repo", "status", "error_message", *RUN_COUNTS)]]
 
 
 def pipeline_status(runs: DataFrame, n: int = K.PIPELINE_STATUS_RUNS) -> DataFrame:

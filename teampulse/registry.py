@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 from teampulse import constants as K
 from teampulse import schemas
 from teampulse.functions import in_window, is_bot
+from teampulse.functions import sql as SQL
 from teampulse.operators.merge import upsert
+from teampulse.operators.ranking import positions
 from teampulse.plans import aggregates as A
 from teampulse.plans import insights as D
-from teampulse.plans import daily, marts, reports, runs, staging
+from teampulse.plans import daily, marts, refresh, reports, runs, staging
 from teampulse.session import scratch_path
 from teampulse.sources import extract as X
 from teampulse.sources import fixtures as FX
 from teampulse.sources import raw as R
+from teampulse.sources import lookup, store, variant
 
 # --- fixed query parameters ------------------------
 AS_OF = FX.AS_OF
@@ -37,7 +40,9 @@ TREND_DAYS = 30
 SUMMARY_DAYS = 30
 FLAGSHIP_DAYS = 15
 
-BUCKETS = 16
+BUCKETS = 4
+TITLE_PAGE = 5
+LOOKUP_BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,11 +152,10 @@ def q_upsert_commits_bucketed(spark, sf_dir):
     raw = _raw(spark, sf_dir)["commits"]
     id_col, changed = FX.upsert_changes("commits")
     existing, incoming = FX.upsert_batches(raw, id_col, changed)
-    path, batch = scratch_path(spark, "raw-bucketed"), scratch_path(spark, "batch")
-    R.write_bucketed(existing, path, schemas.KEYS["commits"], BUCKETS)
-    incoming.write.parquet(batch)
-    R.upsert_into(spark, path, "commits", spark.read.parquet(batch), buckets=BUCKETS, loaded_at=FX.RELOADED_AT)
-    return R.read_bucketed(spark, path, "commits")
+    path = scratch_path(spark, "raw-bucketed")
+    store.create(existing, path, "commits", shards=BUCKETS, buckets=BUCKETS)
+    store.upsert_into(spark, path, "commits", incoming, seq_col="_seq", loaded_at=FX.RELOADED_AT)
+    return store.read(spark, path, "commits")
 
 
 def _impact(df):
@@ -194,24 +198,113 @@ def q_pipeline_run_append(spark, sf_dir):
     return R.read_runs(spark, path)
 
 
-def _daily(spark, sf_dir):
-    store = scratch_path(spark, "daily")
-    landing = {}
-    for kind in X.KINDS:
-        landing[kind] = f"{store}/landing/{kind}"
-        X.land(_landed(spark, sf_dir, kind), landing[kind])
-    return daily.run(spark, landing, f"{store}/warehouse", since=SINCE, as_of=AS_OF, loaded_at=FX.RELOADED_AT,
-                     buckets=BUCKETS)
+NUMBER = {"commits": "CAST(sha AS BIGINT)", "pull_requests": "pr_number", "reviews": "pr_number", "issues": "issue_number"}
+
+
+def _daily(spark, sf_dir, days=1):
+    """The daily run over all landed documents; with several days, over a part of them each day."""
+    store_path = scratch_path(spark, "daily")
+    raw = _raw(spark, sf_dir)
+    build = {"commits": FX.commit_payloads, "pull_requests": FX.pull_payloads,
+             "reviews": FX.review_payloads, "issues": FX.issue_payloads}
+    for day in range(days):
+        landing = {}
+        for kind in X.KINDS:
+            landing[kind] = f"{store_path}/landing-{day}/{kind}"
+            X.land(build[kind](raw[kind].where(F.expr(f"{NUMBER[kind]} % {days}") == day)), landing[kind])
+        paths = daily.run(spark, landing, f"{store_path}/warehouse", since=SINCE, as_of=AS_OF, loaded_at=FX.RELOADED_AT,
+                          buckets=BUCKETS, run_id=f"day-{day}")
+    return paths
 
 
 def q_daily_pipeline(spark, sf_dir):
-    return _impact(spark.read.parquet(_daily(spark, sf_dir)["impact"]))
+    return _impact(refresh.read_mart(spark, _daily(spark, sf_dir)["impact"]))
 
 
 def q_daily_pipeline_run(spark, sf_dir):
     return R.read_runs(spark, _daily(spark, sf_dir)["runs"])
 
 
+def q_daily_refresh_impact(spark, sf_dir):
+    """The impact mart after three daily loads, the second and third by changed groups."""
+    return _impact(refresh.read_mart(spark, _daily(spark, sf_dir, days=3)["impact"]))
+
+
+def q_daily_refresh_weekly(spark, sf_dir):
+    return refresh.read_mart(spark, _daily(spark, sf_dir, days=3)["weekly"])
+
+
+# --- ranks, pages and states of any size ---------------------------------------
+
+def q_leaderboard_positions(spark, sf_dir):
+    """The whole board with the place and the rank of every row."""
+    return reports.leaderboard(_raw(spark, sf_dir), REPO, as_of=AS_OF, days=BOARD_DAYS, limit=None, with_position=True,
+                               title_count=0)
+
+
+def q_impact_positions(spark, sf_dir):
+    """Place and rank of every engineer in every repo, by the score of the mart."""
+    scored = marts.scored_activity(_stg(spark, sf_dir), title_count=0)
+    return positions(scored.select("repo", "engineer_login", "impact_score"), ["repo"], "impact_score",
+                     [F.col("engineer_login").asc()], row_number="place", rank="impact_rank")
+
+
+def q_pr_title_pages(spark, sf_dir):
+    pages = marts.pr_title_pages(_stg(spark, sf_dir)["pull_requests"], TITLE_PAGE)
+    return pages.withColumn("titles", F.array_join("titles", "|"))
+
+
+def q_active_days_merged(spark, sf_dir):
+    """Active days from the merged states of three loads."""
+    commits = _stg(spark, sf_dir)["commits"]
+    parts = [A.active_day_states(commits.where(F.col("sha").cast("long") % 3 == i)) for i in range(3)]
+    return A.active_days(A.merged_day_states(*parts))
+
+
+def q_leaderboard_all_windows(spark, sf_dir):
+    return reports.window_boards(_raw(spark, sf_dir), REPO, as_of=AS_OF, limit=WINDOW_LIMIT)
+
+
+def q_engineer_trends_lookup(spark, sf_dir):
+    """The trends of one engineer from the layout for look-ups."""
+    path = scratch_path(spark, "lookup")
+    lookup.write(_raw(spark, sf_dir), path, LOOKUP_BUCKETS)
+    return reports.engineer_trends(lookup.read(spark, path, LOGIN, LOOKUP_BUCKETS), LOGIN, REPO, as_of=AS_OF, days=TREND_DAYS)
+
+
+def _variant(extract, kind, *args):
+    return lambda spark, sf_dir: extract(variant.parse(_landed(spark, sf_dir, kind), kind), *args)
+
+
+def q_field_states(spark, sf_dir):
+    """Fields of landed documents that were absent, null, mistyped or given, all four kinds."""
+    parts = [variant.field_states(_landed(spark, sf_dir, kind), kind) for kind in X.KINDS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+# --- SQL functions and views --------------------------------------------------
+
+def _sql(text):
+    def q(spark, sf_dir):
+        SQL.register(spark, _raw(spark, sf_dir))
+        return spark.sql(text)
+    return q
+
+
+SQL_TEXTS = {
+    "sql_commit_kinds": """
+        SELECT repo, commit_kind(message) AS commit_type, count(*) AS commits, count_if(is_bot(author_login, author_type)) AS by_bots
+        FROM raw_commits GROUP BY repo, commit_kind(message)""",
+    "sql_discussion_levels": """
+        SELECT repo, discussion_level, count(*) AS prs, sum(total_discussion) AS discussion
+        FROM v_pull_requests GROUP BY repo, discussion_level""",
+    "sql_weekly_points": """
+        SELECT engineer_login, repo, week_of(submitted_at) AS week_start, count(*) AS reviews,
+               impact_points(0L, sum(is_changes_requested), count(*), 0L, 0L, sum(is_approval)) AS points
+        FROM v_reviews GROUP BY engineer_login, repo, week_of(submitted_at)""",
+}
+
+
 # --- registry ---------------------------------------------------------------
 
 def _leaderboard_days(days):
@@ -237,6 +330,8 @@ def queries() -> dict[str, Query]:
         "upsert_commits_bucketed": q_upsert_commits_bucketed,
         "daily_pipeline": q_daily_pipeline,
         "daily_pipeline_run": q_daily_pipeline_run,
+        "daily_refresh_impact": q_daily_refresh_impact,
+        "daily_refresh_weekly": q_daily_refresh_weekly,
         "required_trends": q_required_trends,
         "pipeline_run_append": q_pipeline_run_append,
         # staging
@@ -276,6 +371,15 @@ def queries() -> dict[str, Query]:
         "team_insight": lambda s, d: D.team_insight(_board(s, d)),
         "trend_series": lambda s, d: D.trend_series(_trends(s, d)),
     }
+    q |= {"leaderboard_positions": q_leaderboard_positions, "impact_positions": q_impact_positions,
+          "pr_title_pages": q_pr_title_pages, "active_days_merged": q_active_days_merged,
+          "leaderboard_all_windows": q_leaderboard_all_windows, "engineer_trends_lookup": q_engineer_trends_lookup}
+    q |= {"variant_commits": _variant(X.extract_commits, "commits", SINCE),
+          "variant_merged_prs": _variant(X.extract_merged_prs, "pull_requests", SINCE),
+          "variant_reviews": _variant(X.extract_reviews, "reviews"),
+          "variant_closed_issues": _variant(X.extract_closed_issues, "issues", SINCE), "field_states": q_field_states}
+    q |= {name: _sql(text) for name, text in SQL_TEXTS.items()}
+    q["sql_issues"] = _sql("SELECT * FROM v_issues")
     for days in K.VALID_DAYS:
         q[f"leaderboard_{days}d"] = _leaderboard_days(days)
     for table in ("commits", "pull_requests", "reviews", "issues"):
