@@ -5,7 +5,7 @@ characters, by the rules of the byte-level pattern: contractions; runs of
 letters, of numbers or of other characters, with a space before them if there is
 one; white space, whose last character stays apart if something follows. Only
 distinct pre-tokens go to a tokenizer, which treats each as it would inside its
-text; they are told apart by 64-bit hashes.
+text. They are found by 64-bit hashes and compared character by character.
 """
 
 from __future__ import annotations
@@ -76,18 +76,30 @@ def pretoken_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Memory:
     """Ids of pre-tokens by hash. `learn` maps a list of pre-tokens to (all their ids, the number of ids of each).
 
-    A direct-mapped table answers most look-ups for a whole buffer at once; a dict holds every entry. At
-    `CACHE_ENTRIES` entries the memory starts anew.
+    A direct-mapped table answers most look-ups for a whole buffer at once; a dict holds every entry. The characters of
+    each entry are kept, and every pre-token is compared with those of the entry it got; one that shares another's hash
+    is held by its text instead. At `CACHE_ENTRIES` entries the memory starts anew. `added`: ids of the tokens that
+    stand for themselves in a text, by their bytes.
     """
 
     SLOTS = 20
 
-    def __init__(self, learn):
-        self.learn = learn
+    def __init__(self, learn, added: dict[bytes, int] | None = None):
+        import re
+
+        self.learn, self.added = learn, added or {}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest_first))) if longest_first else None
         self.clear()
 
     def clear(self):
         self.number: dict[int, int] = {}
+        self.by_text: dict[str, int] = {}
+        self.entries = 0
+        self.chars = np.zeros(1 << 18, "<u4")
+        self.char_place = np.zeros(1 << 14, np.int64)
+        self.char_size = np.zeros(1 << 14, np.int64)
+        self.chars_used = 0
         self.slot_hash = np.zeros(1 << self.SLOTS, np.uint64)
         self.slot_number = np.full(1 << self.SLOTS, -1, np.int32)
         self.flat = np.zeros(1 << 16, "<u4")
@@ -95,20 +107,55 @@ class Memory:
         self.size = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _append(self, ids, sizes):
-        have, count, more = len(self.number), len(sizes), len(ids)
+    def _append(self, pretokens):
+        """Numbers of new entries for these pre-tokens."""
+        ids, sizes = self.learn(pretokens)
+        have, count, more = self.entries, len(sizes), len(ids)
+        letters = np.frombuffer("".join(pretokens).encode("utf-32-le"), "<u4")
+        lengths = np.fromiter(map(len, pretokens), np.int64, count)
         while have + count > len(self.place):
-            self.place, self.size = (np.append(x, np.zeros_like(x)) for x in (self.place, self.size))
+            self.place, self.size, self.char_place, self.char_size = (
+                np.append(x, np.zeros_like(x)) for x in (self.place, self.size, self.char_place, self.char_size))
         while self.used + more > len(self.flat):
             self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        while self.chars_used + len(letters) > len(self.chars):
+            self.chars = np.append(self.chars, np.zeros_like(self.chars))
         self.flat[self.used : self.used + more] = ids
         self.size[have : have + count] = sizes
         self.place[have : have + count] = self.used + np.cumsum(sizes) - sizes
+        self.chars[self.chars_used : self.chars_used + len(letters)] = letters
+        self.char_size[have : have + count] = lengths
+        self.char_place[have : have + count] = self.chars_used + np.cumsum(lengths) - lengths
         self.used += more
-
-    def numbers(self, h, text, start, stop) -> np.ndarray:
-        """Entry of each pre-token: h its hash, [start, stop) its place in text."""
-        if len(self.number) > CACHE_ENTRIES:
+        self.chars_used += len(letters)
+        self.entries += count
+        return np.arange(have, have + count)
+
+    def _others(self, number, points, start, stop) -> np.ndarray:
+        """Places of the pre-tokens whose characters are not those of their entry."""
+        lengths = stop - start
+        wrong = lengths != self.char_size[number]
+        some = np.flatnonzero(~wrong)
+        n = lengths[some]
+        ends = np.cumsum(n)
+        step = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
+        differ = points[np.repeat(start[some], n) + step] != self.chars[np.repeat(self.char_place[number[some]], n) + step]
+        if differ.any():
+            wrong[some[np.unique(np.searchsorted(ends, np.flatnonzero(differ), "right"))]] = True
+        return np.flatnonzero(wrong)
+
+    def numbers(self, h, text, points, start, stop) -> np.ndarray:
+        """Entry of each pre-token: h its hash, [start, stop) its place in text, whose code points are points."""
+        number = self._by_hash(h, text, start, stop)
+        for i in self._others(number, points, start, stop).tolist():
+            pretoken = text[start[i] : stop[i]]
+            if pretoken not in self.by_text:
+                self.by_text[pretoken] = int(self._append([pretoken])[0])
+            number[i] = self.by_text[pretoken]
+        return number
+
+    def _by_hash(self, h, text, start, stop) -> np.ndarray:
+        if self.entries > CACHE_ENTRIES:
             self.clear()
         slot = (h >> np.uint64(64 - self.SLOTS)).astype(np.int64)
         out = self.slot_number[slot]
@@ -120,9 +167,7 @@ class Memory:
             new = np.flatnonzero(got < 0)
             if len(new):
                 at = other[first[new]]
-                ids, sizes = self.learn([text[a:b] for a, b in zip(start[at].tolist(), stop[at].tolist())])
-                self._append(ids, sizes)
-                got[new] = np.arange(len(self.number), len(self.number) + len(new))
+                got[new] = self._append([text[a:b] for a, b in zip(start[at].tolist(), stop[at].tolist())])
                 self.number.update(zip((keys[i] for i in new.tolist()), got[new].tolist()))
             out[other] = got[inverse]
             slot = (unique >> np.uint64(64 - self.SLOTS)).astype(np.int64)
@@ -144,13 +189,15 @@ def byte_alphabet() -> np.ndarray:
 
 
 def tokenizer_memory(path: str) -> Memory:
-    """The worker's memory for a `tokenizers` file with byte-level BPE: its model is applied to each pre-token, so
-    strings of special tokens in a text are ordinary text."""
+    """The worker's memory for a `tokenizers` file with byte-level BPE: its model is applied to each pre-token; the
+    file's added tokens are taken whole wherever they stand in a text, as the tokenizer does."""
     kept = vec.worker_cache("tokens")
     if path not in kept:
         from tokenizers import Tokenizer
 
-        model, alphabet = Tokenizer.from_file(path).model, byte_alphabet()
+        tokenizer = Tokenizer.from_file(path)
+        model, alphabet = tokenizer.model, byte_alphabet()
+        added = {t.content.encode(): i for i, t in tokenizer.get_added_tokens_decoder().items()}
 
         def learn(pretokens):
             raw = [p.encode() for p in pretokens]
@@ -160,25 +207,47 @@ def tokenizer_memory(path: str) -> Memory:
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum())), sizes
 
-        kept[path] = Memory(learn)
+        kept[path] = Memory(learn, added)
     return kept[path]
 
 
+def added_tokens(raw: bytes, offsets: np.ndarray, memory: Memory) -> list[tuple[int, int, int]]:
+    """(start, end, id) of the added tokens in texts at byte offsets, from the left; none crosses texts."""
+    out, at = [], 0
+    while memory.pattern and (m := memory.pattern.search(raw, at)):
+        end_of_text = int(offsets[np.searchsorted(offsets, m.start(), "right")])
+        whole = m.end() <= end_of_text
+        if whole:
+            out.append((m.start(), m.end(), memory.added[m[0]]))
+        at = m.end() if whole else m.start() + 1
+    return out
+
+
 def id_arrays(raw: bytes, offsets: np.ndarray, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """(ids as '<u4', place of the first id of each text and the end) of UTF-8 texts at byte offsets."""
     text = raw.decode()
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
     leads = np.zeros(len(raw) + 1, np.int64)
     np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80, out=leads[1:])
-    offsets = leads[offsets]
-    start = pretoken_starts(points, offsets)
+    special = np.array(added_tokens(raw, offsets, memory), np.int64).reshape(-1, 3)
+    offsets, special[:, :2] = leads[offsets], leads[special[:, :2]]
+    # the text before, between and after added tokens is split as texts of their own are
+    start = pretoken_starts(points, np.unique(np.concatenate([offsets, special[:, 0], special[:, 1]])))
     if not len(start):
         return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+    if len(special):  # an added token is one pre-token
+        token = np.searchsorted(special[:, 0], start, "right") - 1
+        inside = (token >= 0) & (start > special[token, 0]) & (start < special[token, 1])
+        start = start[~inside]
     stop = np.append(start[1:], len(points))
     total = np.zeros(len(points) + 1, np.uint64)
     np.cumsum(vec.worker_cache("tokens")["codes"][points] * vec.powers(len(points))[0][: len(points)], out=total[1:])
-    number = memory.numbers(vec.span_hash(total, start, stop), text, start, stop)
+    number = memory.numbers(vec.span_hash(total, start, stop), text, points, start, stop)
     counts = memory.size[number]
+    at = np.searchsorted(start, special[:, 0])
+    counts[at] = 1
     ends = np.cumsum(counts)
     index = np.arange(ends[-1]) + np.repeat(memory.place[number] - (ends - counts), counts)
-    return memory.flat[index], np.append(0, ends)[np.searchsorted(start, offsets)]
+    ids = memory.flat[index]
+    ids[ends[at] - 1] = special[:, 2]
+    return ids, np.append(0, ends)[np.searchsorted(start, offsets)]

@@ -124,8 +124,10 @@ def test_op9_rows(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
-    rows = [*C.TEXTS, *((100 + k, t) for k, t in enumerate(ODD))]
+    mark = "<|endoftext|>"
+    marked = [f"hello {mark} world", mark, mark + mark, f"{mark} starts", f"ends {mark}", f"ends{mark}", f"a  {mark}  b\n\n{mark}",
+              "<|endof", "text|> is not one", f"<|endoftext{mark}|>", f"l'{mark}'ll", f"12{mark}34 {mark[:-1]}", "née" + mark + "東京"]
+    rows = [*C.TEXTS, *((100 + k, t) for k, t in enumerate([*ODD, *marked]))]
     docs = C.documents(spark, rows).repartition(3)
     got = [tuple(r) for r in packing.packed(docs).collect()]
     _check(got, {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END] for i, t in rows})
