@@ -9,8 +9,9 @@ words is always hit. Hits of a template that lie near one diagonal form a
 candidate, whose words are aligned with the template's inside a band of at most
 `BAND` words around that diagonal (match +1, mismatch and gap -1, best local path).
 A match is reported with its coverage and character span if it covers `COVERAGE`
-of a template or scores a passage that the index is sure to find; of a group of
-hits all such matches are. A match that is not an exact whole copy gives way to
+of a template or, as a part of one, scores `PART` words; of a group of hits all
+such matches are. Shorter runs that legal and everyday prose share with long
+templates ("to the extent permitted by applicable law") are no licences. A match that is not an exact whole copy gives way to
 one of another template that explains its span better.
 
 Templates are the usual notices of public licenses and the full texts in
@@ -33,7 +34,9 @@ GRAM = 3
 WINDOW = 3
 BAND = 8
 COVERAGE = 0.7
-PASSAGE = GRAM + WINDOW - 1
+#: Aligned words, less mismatches and gaps, from which on a part of a template is reported. Prose shares up to twelve
+#: ("is provided as is, without warranty of any kind, express or implied").
+PART = 14
 GAP = 256
 REACH = 16
 
@@ -229,7 +232,7 @@ def scan(index: Index, h) -> list[tuple]:
             part = h[start : max(start, min(high, shift + last + 2 * band))]
             score, matched, begin, end = scored(part.tolist(), words[first:last], shift + first - start, band)
             begin, end = begin + start, end + start
-            if matched >= COVERAGE * len(words) or score >= PASSAGE:
+            if matched >= COVERAGE * len(words) or score >= PART:
                 found.append((t, matched, begin, end, score))
             before, after = [x for x in group if x[1] + GRAM <= begin], [x for x in group if x[1] >= end]
             if score and begin > low:
