@@ -1,37 +1,49 @@
 """Main text of web pages by site template removal (operator 7).
 
-Every page is read into elements. An element's subtree hash covers its tag,
-class and id, its text and its children's hashes. Spark counts, per host, the
-different pages (by hash of the main part) on which each hash occurs; a subtree that recurs on at least `MIN_PAGES`
-pages and on `SHARE` of the host's pages belongs to the site's template and is
-deleted. Elements that say what they are (menus, headers, footers, sidebars,
+Every page is read into elements. Every block that has text, named as a menu or
+not, paragraph of an article or not, is hashed as a subtree: its tag, class and
+id, its text and its children's hashes. Spark counts on how many different pages
+of a host each hash occurs, and what recurs there on many pages is the site's
+template and is deleted: `MIN_PAGES` pages and `SHARE` of the host's, or
+`MANY_PAGES`; for running text (paragraphs, headings, quotations, list items,
+table cells) inside an article `FLOW_PAGES` and `FLOW_SHARE`.
+
+Pages are different if the two longest blocks outside the subtree are: what
+recurs together with the rest of a page, as in copies and in most copies with
+small edits, counts once, so these keep their text. A subtree with half of the page's main
+text or more is never template.
+
+After that, elements that say what they are (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles: by tag, role, class or id)
-are deleted everywhere. What is left of the article (`article`, `main` or
-role=main; the body where there is none) is the text.
-
-Not taken for template: running text (paragraphs, headings, quotations, list
-items, table cells) inside an article, and a subtree with half of the page's main text or more, so copies
-of a page on its host keep their text.
-
-The pages of a host are dealt over `SPREAD` keys for the join with its list, so
-that a host with a large share of all pages does not meet in one task. A
-host's list of template hashes has at most 1 / SHARE times as many entries as
-a page of that host has subtrees on average, so the join back to the pages is
-by host with a bounded list.
+are deleted where they occur on too few pages to recur. What is left of the
+article (`article`, `main` or role=main; the body where there is none) is the
+text.
+
+Pages are parsed twice, once to count and once for the text. Counts
+pre-aggregate by host, hash and page. The template hashes of all hosts go to the
+pages by broadcast while they are at most `BROADCAST_HASHES`; beyond that the
+pages of a host are dealt over `SPREAD` join keys, so that a host with a large
+share of all pages does not meet in one task.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from itertools import islice
+from operator import xor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_PAGES = 3
-SHARE = 0.1
+from teampulse.llm.frames import stored
+
+MIN_PAGES, SHARE = 3, 0.1
+MANY_PAGES = 10_000
+FLOW_PAGES, FLOW_SHARE = 5, 0.5
 SPREAD = 64
+BROADCAST_HASHES = 1 << 22
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|$)""", re.I)
@@ -62,7 +74,7 @@ DROPPED_NAMES = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "names", "dropped", "parts", "main", "digest", "size")
+    __slots__ = ("tag", "names", "dropped", "parts", "main", "digest", "size", "at", "end")
 
     def __init__(self, tag, names="", dropped=False, main=False):
         self.tag, self.names, self.dropped, self.main = tag, names, dropped, main
@@ -135,30 +147,30 @@ def _close(stack, tags, limits):
             return
 
 
-def _postorder(root: Node):
+def _hash(root: Node):
+    """Subtree hashes and text sizes (characters without white space) of all elements, and their places [at, end) in
+    document order. What names itself is hashed, but does not count in what holds it."""
+    import xxhash
+
     order, todo = [], [root]
     while todo:
         node = todo.pop()
+        node.at = len(order)
         order.append(node)
-        todo.extend(p for p in node.parts if isinstance(p, Node) and not p.dropped)
-    return reversed(order)
-
-
-def _hash(root: Node):
-    """Subtree hashes and text sizes (characters without white space) of what is not dropped."""
-    import xxhash
-
-    for node in _postorder(root):
+        todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+    for node in reversed(order):
         h = xxhash.xxh64(f"{node.tag}\0{node.names}\0")
-        node.size = 0
+        node.size, node.end = 0, node.at + 1
         for part in node.parts:
             if isinstance(part, str):
                 words = part.split()
                 node.size += sum(map(len, words))
                 h.update(" ".join(words))
-            elif not part.dropped:
-                node.size += part.size
-                h.update(part.digest)
+            else:
+                node.end = part.end
+                if not part.dropped:
+                    node.size += part.size
+                    h.update(part.digest)
         node.digest = h.digest()
 
 
@@ -178,31 +190,54 @@ def _number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def candidates(root: Node) -> dict[int, list[Node]]:
-    """By hash, the subtrees of the main part that may belong to a template (equal ones of a page share a hash)."""
+class Found:
+    """A block that may be template: its node, whether it is running text of an article, and the page as seen from it."""
+
+    __slots__ = ("node", "flow", "page")
+
+    def __init__(self, node, flow, page):
+        self.node, self.flow, self.page = node, flow, page
+
+    @property
+    def key(self):
+        """Hash and kind: a block counts apart where it is running text."""
+        return _number(self.node.digest) ^ self.flow
+
+
+def candidates(root: Node) -> tuple[list[Found], int]:
+    """(blocks of a page that may belong to a template, the page's identity as a whole)."""
     _hash(root)
     mains = main_nodes(root)
     half = sum(n.size for n in mains) / 2
-    out, todo = {}, [(n, n.main) for n in mains]
+    blocks, todo = [], [(root, False, False)]
     while todo:
-        node, inside = todo.pop()
+        node, inside, named = todo.pop()
         for part in node.parts:
-            if isinstance(part, Node) and not part.dropped and part.size:
-                if part.tag in BLOCKS and not part.main and part.size < half and not (inside and part.tag in FLOW):
-                    out.setdefault(_number(part.digest), []).append(part)
-                if not (inside and part.tag in FLOW):
-                    todo.append((part, inside))
-    return out
+            if isinstance(part, Node):
+                gone = named or part.dropped
+                if part.tag in BLOCKS and part.tag != "body" and not part.main and part.size:
+                    blocks.append((part, inside and not gone and part.tag in FLOW, gone))
+                todo.append((part, inside or part.main, gone))
+    # what tells pages apart: blocks of the main part that hold no other, longest first
+    own = sorted((n for n, _, gone in blocks if not gone and any(m.at <= n.at < m.end for m in mains)), key=lambda n: n.at)
+    leaves = [n for n, after in zip(own, [*own[1:], None]) if after is None or after.at >= n.end]
+    leaves = sorted(leaves, key=lambda n: (-n.size, n.at))[:64]
+
+    def seen_from(node):
+        two = islice((o.digest for o in leaves if node is None or o.end <= node.at or o.at >= node.end), 2)
+        return int.from_bytes(bytes(map(xor, *pair)) if len(pair := list(two)) == 2 else b"".join(pair), "little", signed=True)
+
+    out = [Found(n, flow, seen_from(n)) for n, flow, gone in blocks if gone or n.size < half]
+    return out, seen_from(None) if leaves else _number(root.digest)
 
 
 def main_text(page: str, template) -> str:
     """Text of a page without what is dropped and without the subtrees whose hash is in `template`."""
     root = parse(page)
     if template:
-        for digest, nodes in candidates(root).items():
-            if digest in template:
-                for node in nodes:
-                    node.dropped = True
+        for found in candidates(root)[0]:
+            if found.key in template:
+                found.node.dropped = True
     blocks, block = [], []
 
     def flush():
@@ -233,46 +268,56 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, hashes: array of the subtree hashes of its template), for hosts that have any."""
+def recurrences(pages: DataFrame) -> DataFrame:
+    """(host, hash, flow, n): the different pages of a host on which each block recurs, MIN_PAGES at least; with a null
+    hash the different pages of the host. One parse of each page; written below ``spark.checkpoint.dir``."""
 
     def run(batches):
-        import xxhash
-
         for batch in batches:
-            hosts, own, hashes = [], [], []
+            hosts, own, hashes, flows = [], [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, same = [None], 0  # None counts the page
-                if page:
-                    root = parse(page)
-                    found += candidates(root)
-                    same = _number(xxhash.xxh64(b"".join(n.digest for n in main_nodes(root))).digest())
-                hosts += [host] * len(found)
-                own += [same] * len(found)
-                hashes += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array(hashes, pa.int64())],
-                                             ["host", "page", "hash"])
+                found, same = candidates(parse(page)) if page else ([], 0)
+                rows = {(f.key, f.page, f.flow) for f in found}
+                hosts += [host] * (len(rows) + 1)
+                hashes += [None, *(k for k, _, _ in rows)]
+                own += [same, *(p for _, p, _ in rows)]
+                flows += [False, *(f for _, _, f in rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(own, pa.int64()),
+                                              pa.array(hashes, pa.int64()), pa.array(flows, pa.bool_())],
+                                             ["host", "page", "hash", "flow"])
 
     seen = (pages.select(host_of(F.col("url")).alias("host"), F.col("html"))
-            .mapInArrow(run, "host string, page long, hash long")
-            .groupBy("host", "hash").agg(F.count_distinct("page").alias("n")))
-    recurring = seen.where(F.col("hash").isNotNull() & (F.col("n") >= MIN_PAGES))
+            .mapInArrow(run, "host string, page long, hash long, flow boolean")
+            .groupBy("host", "hash", "flow").agg(F.count_distinct("page").alias("n")))
+    return stored(seen.where(F.col("hash").isNull() | (F.col("n") >= MIN_PAGES)), "recurring-blocks")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, hash) of the blocks that recur on so many pages of the host that they are its template."""
+    seen = recurrences(pages)
     totals = seen.where(F.col("hash").isNull()).select("host", F.col("n").alias("pages"))
-    return (recurring.join(totals, "host").where(F.col("n") >= F.col("pages") * SHARE)
-            .groupBy("host").agg(F.collect_set("hash").alias("hashes")))
+    often = ((F.col("n") >= F.col("pages") * SHARE) | (F.col("n") >= MANY_PAGES)) & ~F.col("flow")
+    flow = F.col("flow") & (F.col("n") >= FLOW_PAGES) & (F.col("n") >= F.col("pages") * FLOW_SHARE)
+    return seen.where(F.col("hash").isNotNull()).join(totals, "host").where(often | flow).select("host", "hash")
 
 
-def extracted(pages: DataFrame) -> DataFrame:
+def extracted(pages: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages.
 
     Null or empty html gives an empty text; pages without a host share one ('' counts as a host). Repeated rows and
-    null ids get a result each (pages with an equal main part are one page in the counts); other columns are not used; an empty table gives an
-    empty result.
+    null ids get a result each (pages that look the same around a block are one page in its count); other columns are
+    not used; an empty table gives an empty result.
     """
-    sites = templates(pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    part = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SPREAD)).cast("int")
-    joined = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), part.alias("part"))
-              .join(sites, ["host", "part"], "left").select("page_id", "url", "html", "hashes"))
+    found = stored(templates(pages), "templates")
+    sites = found.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    wanted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    if found.count() <= broadcast_hashes:
+        joined = wanted.join(F.broadcast(sites), "host", "left").select("page_id", "url", "html", "hashes")
+    else:
+        part = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SPREAD)).cast("int")
+        sites = sites.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        joined = (wanted.withColumn("part", part).join(sites, ["host", "part"], "left")
+                  .select("page_id", "url", "html", "hashes"))
 
     def run(batches):
         for batch in batches:

@@ -28,9 +28,9 @@ def test_site_template_goes_and_the_article_stays(spark):
              (None, "http://x.example/", "<p>plain <i>words</i>"), (103, "https://x.example/b", "no <b markup at all > 5 & <")]
     got = {r.page_id: r for r in html.extracted(_pages(spark, rows)).collect()}
     assert len(got) == len(rows)
-    for n in range(12):  # the box is on every page of the host: template
-        assert got[n].text == _text(n) and got[n].n_chars == len(_text(n))
-    assert "House style box" in got[100].text  # one page shows no template
+    for n in range(12):  # what is on every page of the host, box or line, is template
+        assert got[n].text == f"Title {n} Unclosed été {n} next two {n}" and got[n].n_chars == len(got[n].text)
+    assert got[100].text == _text(100).replace("next", "next House style box")  # one page shows no template
     assert (got[101].text, got[102].text, got[101].n_chars) == ("", "", 0)
     assert got[None].text == "plain words"
     assert html.extracted(_pages(spark, [])).collect() == []
@@ -62,6 +62,62 @@ def test_template_counts_pages_of_the_host(spark):
     assert got[0].startswith("Box") and got[50] == "Text number 50 is its own."
 
 
+def _site(n, notice="<p>Our offices are closed on public holidays.</p>", host="h", flat=False):
+    """A page whose article holds, unnamed, what the site puts on each page; its text differs from page to page."""
+    rng = np.random.default_rng(n)
+    own = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 12)) for _ in range(3)]
+    body = f"<h1>Head {n}</h1><p>{own[0]}</p>{notice}<ul><li>{own[1]}</li><li>Ask us by mail</li></ul><table><tr><td>{own[2]}<td>Terms apply</table>"
+    page = f"<body><div><div>{n} Menu</div><div>Top of the site</div></div><article>{body}</article><div>Bottom {n % 2}</div></body>"
+    return page, " ".join([f"Head {n}", *own])
+
+
+def test_unnamed_notices_in_articles_go_by_recurrence_alone(spark, monkeypatch):
+    monkeypatch.setattr(html, "DROPPED_NAMES", frozenset())
+    rows = [(n, f"http://h.example/{n}", _site(n)[0]) for n in range(30)]
+    found = html.templates(_pages(spark, rows)).collect()
+    assert {r.host for r in found} == {"h.example"} and len(found) >= 5
+    for limit in (html.BROADCAST_HASHES, 0):  # both ways to bring the hashes to the pages
+        got = {r.page_id: r.text for r in html.extracted(_pages(spark, rows), limit).collect()}
+        assert got == {n: _site(n)[1] for n in range(30)}
+
+
+def test_copies_with_edits_keep_what_they_share(spark):
+    page, text = _site(1)
+    rows = [(n, f"http://h.example/{n}", page.replace("Head 1", f"Head {n}")) for n in range(20)]
+    got = {r.page_id: r.text for r in html.extracted(_pages(spark, rows)).collect()}
+    assert all(got[n].startswith(f"Head {n} " + text.split(" ", 2)[2][:60]) for n in range(20))
+
+
+def test_lines_that_a_tenth_of_the_pages_share_stay(spark):
+    rows = [(n, f"http://h.example/{n}", _site(n, "<p>A saying that many quote.</p>" if n % 8 == 0 else "")[0]) for n in range(64)]
+    got = {r.page_id: r.text for r in html.extracted(_pages(spark, rows)).collect()}
+    assert all(("A saying that many quote." in got[n]) == (n % 8 == 0) for n in range(64))
+
+
+def test_recurrence_equals_brute_force(spark):
+    rows = [(n, f"http://{'ab'[n % 2]}.example/{n}", _site(n % 23)[0] if n % 5 else f"<div>{n % 3}<p>x {n // 2}</div>") for n in range(60)]
+    pages = {}
+    for _, url, page in rows:
+        blocks, own = html.candidates(html.parse(page))
+        host = pages.setdefault(url.split("/")[2], {})
+        host.setdefault((None, False), set()).add(own)
+        for b in blocks:
+            host.setdefault((b.key, b.flow), set()).add(b.page)
+    want = {(h, *k, len(v)) for h, found in pages.items() for k, v in found.items() if k[0] is None or len(v) >= html.MIN_PAGES}
+    assert {tuple(r) for r in html.recurrences(_pages(spark, rows)).select("host", "hash", "flow", "n").collect()} == want
+
+
+def test_recurring_blocks_are_found_on_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert html.templates(pages).count() > 0
+
+
+def test_long_pages_are_read_whole(spark):
+    body = "".join(f"<p>paragraph {n} of a long page</p>" for n in range(20_000))
+    got = html.extracted(_pages(spark, [(1, "http://h.example/", f"<article>{body}</article>")])).first()
+    assert got.n_chars == len(" ".join(f"paragraph {n} of a long page" for n in range(20_000)))
+
+
 def test_odd_markup():
     assert html.main_text("<article>a</p>b</article>c", ()) == "a b"
     assert html.main_text("<main>x<script>y</main>", ()) == "x"
@@ -106,6 +162,55 @@ def test_license_families_full_texts_and_parts_are_reported(spark):
     assert len([r for r in got if r.doc_id == 6 and r.license == "mit-permission"]) == 2
 
 
+PROSE = [
+    "At the time of the harvest the village gathered by the river, and you may not use this bridge after dark.",
+    "To the extent permitted by applicable law, the company refunds the price of any ticket that was not used.",
+    "Lunch was served free of charge to any person who had helped with the hay, subject to the following conditions: be there.",
+    "In no event shall the committee be liable for damages of any kind, and the terms and conditions of this agreement apply.",
+    "The work is provided as is, without warranty of any kind, express or implied, said the seller of the old car.",
+    "You may copy and distribute the leaflet in the school; a copy of this letter must be given to the head teacher.",
+    "Redistribution of wealth, with or without modification of the tax law, is permitted provided that parliament agrees.",
+    "The licence of the pub was renewed for a period of three years, as stated in the notice on the door.",
+]
+
+
+def test_prose_without_a_licence_has_no_match(spark):
+    rows = [(i, t) for i, t in enumerate([*PROSE, " ".join(PROSE), C.PARAGRAPH * 3])]
+    assert licenses.license_spans(C.documents(spark, rows)).collect() == []
+
+
+def test_every_partial_copy_of_twenty_words_is_found(spark):
+    rng = np.random.default_rng(4)
+    rows, names = [], []
+    for name, text in licenses.TEMPLATES.items():
+        words = text.split()
+        for at in rng.integers(0, len(words) - 20, 3).tolist() if len(words) > 20 else []:
+            if sum(len(re.findall(r"[A-Za-z0-9]+", w)) for w in words[at:at + 20]) >= 20:
+                rows.append((len(rows), "before it " + " ".join(words[at:at + 20]) + " after it"))
+                names.append(name)
+    found = {r.doc_id for r in licenses.license_spans(C.documents(spark, rows)).collect()}
+    assert len(rows) > 60 and found == set(range(len(rows)))
+
+
+def test_scan_equals_an_alignment_with_every_template():
+    """The index loses nothing: every template that reaches the bounds by full alignment is reported."""
+    few = {k: licenses.TEMPLATES[k] for k in ("mit-permission", "apache-2.0-header", "isc-permission", "mit-notice", "cc-by-4.0-notice")}
+    index, rng = licenses.Index(few), np.random.default_rng(6)
+    for case in range(25):
+        name = list(few)[case % len(few)]
+        words = few[name].split()
+        for _ in range(case % 4):
+            words[int(rng.integers(len(words)))] = "changed"
+        low = int(rng.integers(0, max(1, len(words) - 25))) if case % 2 else 0
+        raw = np.frombuffer(("some words before " + " ".join(words[low:]) + " and some after").encode(), np.uint8)
+        h = licenses.word_hashes(raw, np.array([0, len(raw)]))[0]
+        got = {index.names[m[0]] for m in licenses.scan(index, h)}
+        for t, template in enumerate(index.words):
+            score, matched, begin, end = licenses.scored(h.tolist(), template, 0, len(h) + len(template))
+            if (score >= licenses.PART or matched >= licenses.COVERAGE * len(template)) and score >= 6 and index.names[t] == name:
+                assert name in got
+
+
 def test_winnowing_keeps_one_of_every_window():
     g = np.random.default_rng(1).integers(0, 50, 200).astype(np.uint64)
     at = set(licenses.winnowed(g, 4).tolist())
