@@ -1,9 +1,10 @@
 """Connected components over an edge table, by alternating large-star and small-star rounds.
 
-Each round is two grouped minima and two equi-joins; every edge stays one row,
-so a hub with very many neighbours is spread over the cluster (its minimum is
-pre-aggregated, its join rows are split by AQE). Rounds end when the edge set
-stops changing; then it is a forest of stars centred on the smallest node.
+Each round is two grouped minima and two equi-joins; every edge stays one row.
+A hub with very many neighbours is spread over the cluster: its minimum is
+pre-aggregated, and its rows meet that minimum under salted keys
+(``frames.looked_up``). Rounds end when the edge set stops changing; then it is
+a forest of stars centred on the smallest node.
 """
 
 from __future__ import annotations
@@ -11,22 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teampulse.llm.frames import stored
+from teampulse.llm.frames import looked_up, stored
 
 
 def _minima(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"))
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size"))
 
 
 def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = _minima(both).select("a", F.least("a", "m").alias("m"))
+    low = _minima(both).select("a", F.least("a", "m").alias("m"), "size")
     # large star: neighbours above a node move to its smallest neighbour
-    large = (both.join(low, "a").where(F.col("b") > F.col("a"))
+    large = (looked_up(both, low, ["a"], "size").where(F.col("b") > F.col("a"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
     # small star: a node and its neighbours below it move to the smallest of them
     low = _minima(large)
-    small = large.join(low, "a").select("a", "b", "m")
+    small = looked_up(large, low, ["a"], "size").select("a", "b", "m")
     return (small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.*").where(F.col("a") != F.col("b")).distinct())

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.llm import vec
-from teampulse.llm.frames import partitions_for, stored
+from teampulse.llm.frames import looked_up, partitions_for, stored
 from teampulse.llm.graph import connected_components
 
 SEED = 42
@@ -75,16 +75,17 @@ def _majority(h, begin, runs, chunk: int = 1 << 15):
 
 
 def fingerprints(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp: long) of each row. Null text: as empty; no words: fingerprint zero."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, fp: long, text_hash: long) of each row. Null text: as empty; no words: fingerprint zero."""
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
     def run(batches):
         for batch in batches:
             data, offsets = vec.buffers(batch.column(1))
             fp = batch_fingerprints(data, offsets, k).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), batch.column(2)],
+                                             ["id", "fp", "text_hash"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, fp long")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, fp long, text_hash long")
 
 
 def block_bits(free: int, blocks: int) -> list[int]:
@@ -214,6 +215,17 @@ def links(nodes: DataFrame, max_bits: int, hot_key: int = HOT_KEY) -> DataFrame:
     return out.distinct()
 
 
+def _classed(docs: DataFrame, k: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """((id, fp, text_hash) of each row; (fp, size, component, component_id) of each different fingerprint)."""
+    fps = stored(fingerprints(docs, k, id_col, text_col), "simhash")
+    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), "simhash-nodes")
+    parts = connected_components(links(nodes, max_bits))
+    classed = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
+        "fp", "rep", "size", F.coalesce("component", "fp").alias("component"))
+    smallest = classed.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    return fps, stored(looked_up(classed, smallest, ["component"], "members").drop("rep"), "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of docs: (id, fp: long, component_id).
@@ -222,19 +234,25 @@ def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, id_col: str
     texts without words have fingerprint zero and link like any other. Repeated rows and ids stay, one result each.
     Other columns are not used. An empty table gives an empty result.
     """
-    fps = stored(fingerprints(docs, k, id_col, text_col), "simhash")
-    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-nodes")
-    parts = connected_components(links(nodes, max_bits))
-    classed = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component"))
-    smallest = classed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classed = classed.join(smallest, "component").select("fp", "component_id")
-    return fps.join(classed, "fp").select("id", "fp", "component_id")
+    fps, classes = _classed(docs, k, max_bits, id_col, text_col)
+    return looked_up(fps, classes.select("fp", "size", "component_id"), ["fp"], "size").select("id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of docs (same columns) whose doc_id is the smallest of its class; rows without an id stay only where
-    their class has none."""
-    kept = (near_duplicates(docs, k, max_bits).where(F.col("id").eqNullSafe(F.col("component_id")))
-            .select(F.col("id").alias("_kept_id")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One row of docs (same columns) for each class: of the rows with the smallest doc_id the one with the smallest hash
+    of its text, of rows that agree in both one. Where no row of a class has an id, the text's hash decides."""
+    fps, classes = _classed(docs, k, max_bits, "doc_id", "text")
+    rows = looked_up(fps, classes.select("fp", "size", "component", "component_id"), ["fp"], "size")
+    first = (rows.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component", "id", "text_hash")
+             .agg(F.count(F.lit(1)).alias("times")))
+    first = (first.groupBy("component", "id").agg(F.min("text_hash").alias("text_hash"),
+                                                  F.min_by("times", "text_hash").alias("times")))
+    kept = stored(first.select(F.col("id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"), "times"), "simhash-kept")
+    own = F.xxhash64(docs["text"])
+
+    def of(chosen):
+        return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_kept_id"]) & (own == chosen["_kept_hash"]), "left_semi")
+
+    # equal rows: copies combine in the task that reads them
+    repeated = of(kept.where(F.col("times") > 1)).withColumn("_hash", F.xxhash64("text"))
+    return of(kept.where(F.col("times") == 1)).unionByName(repeated.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teampulse.llm import vec
-from teampulse.llm.frames import partitions_for, stored
+from teampulse.llm.frames import looked_up, partitions_for, stored
 
 LENGTH = 100
 GRAM = 32
@@ -378,9 +378,10 @@ def _dealt(texts: DataFrame) -> DataFrame:
 
 def _copies(texts: DataFrame, length: int) -> DataFrame:
     """(key, size) of the texts of `length` bytes or more that a smaller key has as well."""
-    digests = texts.select("key", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    digests = stored(texts.select("key", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest")),
+                     "text-digests")
     first = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1)
-    return (digests.join(first, "digest").where((F.col("key") > F.col("first")) & (F.col("size") >= length))
+    return (looked_up(digests, first, ["digest"], "n").where((F.col("key") > F.col("first")) & (F.col("size") >= length))
             .select("key", "size"))
 
 
@@ -393,9 +394,10 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_a
     parts, copies = partitions_for(texts), _copies(texts, length)
     texts = _dealt(texts)
     rest = texts.join(copies, "key", "left").where(F.col("size").isNull()).select("key", "text")
-    twice = (rest.select("text").mapInArrow(_anchor_hashes(length, gram), "h long").groupBy("h").count()
-             .where(F.col("count") > 1).select("h", (F.col("count") > hot_anchor).alias("hot")))
-    found = (rest.mapInArrow(_anchor_rows(length, gram), "h long, key long").join(twice, "h")
+    twice = stored(rest.select("text").mapInArrow(_anchor_hashes(length, gram), "h long").groupBy("h").count()
+                   .where(F.col("count") > 1), "anchor-counts")
+    twice = twice.select("h", (F.col("count") > hot_anchor).alias("hot"), F.col("count").alias("size"))
+    found = (looked_up(rest.mapInArrow(_anchor_rows(length, gram), "h long, key long"), twice, ["h"], "size")
              .groupBy("key").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("found"),
                                  F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot")))
     contexts = texts.join(found, "key").select("key", "text", "found", "hot").mapInArrow(_contexts(length, gram), _ROW)
