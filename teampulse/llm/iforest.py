@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from teampulse.llm import vec
-from teampulse.llm.frames import filtered, stored
+from teampulse.llm.frames import stored
 
 TREES = 128
 SAMPLE = 256
@@ -215,6 +216,19 @@ def _with_counts(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, f"id {kind}, " + ", ".join(f"{c} long" for c in names))
 
 
+def _beside_counts(docs: DataFrame) -> DataFrame:
+    """(doc: struct of the row's columns, id, counts) of each row; only the texts go to the Python workers."""
+    names = COUNTS + EXTRA
+
+    @F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in names]))
+    def counts(text: pa.Array) -> pa.Array:
+        found = rule_counts(*vec.buffers(text))
+        return pa.StructArray.from_arrays([pa.array(found[c], pa.int64()) for c in names], names)
+
+    return docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), counts("text").alias("counts")).select(
+        "doc", "id", "counts.*")
+
+
 def _scored(counted: DataFrame, forest: dict) -> DataFrame:
     """counted with base_failed and anomaly."""
     names = COUNTS + EXTRA
@@ -258,7 +272,15 @@ def train(docs: DataFrame, labels: DataFrame, counted: DataFrame) -> tuple[dict,
     bound = TREES * SAMPLE
 
     def sample(rows):
-        return (rows.orderBy(F.xxhash64("id"), "id", *COUNTS).limit(bound).select(*COUNTS, *EXTRA).toPandas())
+        """The `bound` rows with the smallest hashes. A cut of the hashes that leaves a quarter more comes first, so that
+        tasks sort and send about as many rows as are wanted, however many there are."""
+        n = rows.count()
+        every = (1 << 64) - 1
+        h, cut = F.xxhash64("id"), -(1 << 63) + min(every, 5 * bound * every // (4 * max(n, 1)))
+        few = rows.where(h <= F.lit(cut))
+        if few.count() < min(bound, n):  # many rows share an id, and with it a hash
+            few = rows
+        return few.orderBy(h, "id", *COUNTS).limit(bound).select(*COUNTS, *EXTRA).toPandas()
 
     rows = sample(labelled.where(F.col("good") == 1))
     if not len(rows):
@@ -298,11 +320,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that pass the base rule and the forest, with their columns. Judged row by row, no shuffle."""
-    forest, cut = train(docs, labels, stored(_with_counts(docs), "rule-counts"))
+    """The rows of docs that pass the base rule and the forest, with their columns. Rules are counted once, and written
+    beside the rows; judged row by row, no shuffle."""
+    counted = stored(_beside_counts(docs), "rule-counts")
+    forest, cut = train(docs, labels, counted.drop("doc"))
+
+    names = COUNTS + EXTRA
 
-    def good(data, offsets):
-        counts = rule_counts(data, offsets)
-        return ~base_failed(counts) & (score(forest, statistics(counts)) < cut)
+    @F.arrow_udf(T.BooleanType())
+    def good(*columns: pa.Array) -> pa.Array:
+        counts = {c: x.to_numpy(zero_copy_only=False) for c, x in zip(names, columns)}
+        return pa.array(~base_failed(counts) & (score(forest, statistics(counts)) < cut), pa.bool_())
 
-    return filtered(docs, "text", good)
+    return counted.where(good(*names)).select("doc.*")
