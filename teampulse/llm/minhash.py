@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from teampulse.llm import vec
 from teampulse.llm.frames import partitions_for
+from teampulse.operators.ranking import positions
 
 SHINGLE = 5
 BINS = 512
@@ -138,34 +139,66 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, fingerprint string")
 
 
+#: Keys sampled for each range.
+SAMPLED = 32
+
+
+def _bounds(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and ties of keys that cut docs into about `parts` ranges, in order: every SAMPLED-th of a sample of the keys,
+    chosen by their hash and numbered by `positions`. 16 bytes for each range reach the driver."""
+    n = docs.count()
+    share = min(1 << 20, (SAMPLED * parts << 20) // max(n, 1) + 1)
+    few = docs.where(F.pmod(F.xxhash64("id", "tie", F.lit(1)), F.lit(1 << 20)) < share).select("id", "tie", F.lit(0).alias("zero"))
+    step = max(1, min(SAMPLED, n // parts))
+    nth = positions(few, [], "zero", [F.col("id").asc(), F.col("tie").asc()], row_number="nth")
+    cuts = nth.where(F.col("nth") % step == 0).select("id", "tie").distinct().collect() if parts > 1 else []
+    cuts = sorted(tuple(r) for r in cuts)
+    return np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64)
+
+
+def ranks(ids, ties, id, tie) -> np.ndarray:
+    """How many of the keys (ids, ties), which are sorted, are at or before each (id, tie)."""
+    low, high = np.searchsorted(ids, id, "left"), np.searchsorted(ids, id, "right")
+    out = high.copy()
+    for run in np.unique(low[high > low]).tolist():
+        rows = np.flatnonzero((low == run) & (high > low))
+        out[rows] = run + np.searchsorted(ties[run : high[rows[0]]], tie[rows], "right")
+    return out
+
+
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """(bucket, id, text): the rows dealt by ranges of id, each range also getting the first row of the next.
+    """(bucket, extra, id, tie, text): the rows dealt by ranges of (id, tie), each range also getting the first row of
+    the next.
 
-    The last range gets the first row of all. A range's copies have `extra` true and sort last. Range bounds are
-    ids that occur (approximate quantiles), so the first row of a range is found by equality: one shuffle of the
-    texts, and `parts` extra rows.
+    The last range gets the first row of all. A range's copies have `extra` true and sort last. Range bounds are keys
+    that occur, so the first row of a range is found by equality: one shuffle of the texts, and an extra row for each
+    range. The tie is a hash of the text, so rows that share an id fall into many ranges.
     """
-    parts = min(parts or partitions_for(docs, 16 << 20), 10_000)
-    ids = docs.agg(F.min("id").alias("low"),
-                   F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("q")).first()
-    low = ids["low"]
-    bounds = np.array(sorted({*(ids["q"] or [])} - {low}), np.int64)
-    last = len(bounds)
+    parts = parts or partitions_for(docs, 16 << 20)
+    docs = docs.withColumn("tie", F.xxhash64("text"))
+    first = docs.agg(F.min(F.struct("id", "tie")).alias("key")).first()["key"]
+    low = tuple(first) if first else (0, 0)
+    ids, ties = _bounds(docs, parts)
+    inner = ~((ids == low[0]) & (ties == low[1]))
+    ids, ties = ids[inner], ties[inner]
+    last = len(ids)
 
     @F.pandas_udf("bucket int, before int")
-    def place(id: pd.Series) -> pd.DataFrame:
+    def place(id: pd.Series, tie: pd.Series) -> pd.DataFrame:
         """The row's range, and the range before it if the row begins its own."""
-        bucket = np.searchsorted(bounds, id.to_numpy(), "right")
-        begins = np.where(id == low, last, -1)
+        id, tie = id.to_numpy(), tie.to_numpy()
+        bucket = ranks(ids, ties, id, tie)
+        begins = np.where((id == low[0]) & (tie == low[1]), last, -1)
         if last:
-            begins = np.where((bucket > 0) & (bounds[np.maximum(bucket - 1, 0)] == id), bucket - 1, begins)
+            own = np.maximum(bucket - 1, 0)
+            begins = np.where((bucket > 0) & (ids[own] == id) & (ties[own] == tie), own, begins)
         return pd.DataFrame({"bucket": bucket.astype("int32"), "before": begins.astype("int32")})
 
-    placed = docs.withColumn("p", place("id"))
-    dealt = placed.select("id", "text", F.explode(F.filter(F.array(
+    placed = docs.withColumn("p", place("id", "tie"))
+    dealt = placed.select("id", "tie", "text", F.explode(F.filter(F.array(
         F.struct(F.col("p.bucket").alias("bucket"), F.lit(False).alias("extra")),
         F.struct(F.col("p.before").alias("bucket"), F.lit(True).alias("extra"))), lambda d: d["bucket"] >= 0)).alias("d"))
-    return dealt.select("d.bucket", "d.extra", "id", "text").repartitionById(last + 1, "bucket")
+    return dealt.select("d.bucket", "d.extra", "id", "tie", "text").repartitionById(last + 1, "bucket")
 
 
 def edited(text: str, following: str) -> str:
@@ -197,8 +230,8 @@ def _emit(ids, texts):
 def edit_probe(docs: DataFrame, parts: int | None = None, flush_chars: int = 1 << 20) -> DataFrame:
     """Fingerprints of each document and of its edited text, with their likeness and that to the next document.
 
-    Documents follow each other by id, then text (rows that repeat an id keep their own results); null ids come
-    first, and after the last comes the first. A single document follows itself. Null text reads as empty; an empty
+    Documents follow each other by id, then a hash of the text, then text (rows that repeat an id keep their own
+    results); null ids come first, and after the last comes the first. A single document follows itself. Null text reads as empty; an empty
     table gives an empty result; other columns are not used.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -211,12 +244,12 @@ def edit_probe(docs: DataFrame, parts: int | None = None, flush_chars: int = 1 <
 
 
 def _probe(dealt: DataFrame, flush_chars: int) -> DataFrame:
-    ordered = dealt.sortWithinPartitions("bucket", "extra", "id", "text")
+    ordered = dealt.sortWithinPartitions("bucket", "extra", "id", "tie", "text")
 
     def run(batches):
         ids, texts, chars, bucket, ended = [], [], 0, None, False
         for batch in batches:
-            for b, extra, i, t in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for b, extra, i, t in zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 4))):
                 if b != bucket:
                     ids, texts, chars, bucket, ended = [], [], 0, b, False
                 if ended:

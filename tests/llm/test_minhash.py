@@ -4,6 +4,8 @@ import numpy as np
 import pyarrow as pa
 
 import llm_cases as C
+from pyspark.sql import functions as F
+
 from teampulse.llm import minhash, vec
 
 
@@ -49,6 +51,25 @@ def test_single_null_and_repeated_ids(spark):
     assert sorted((r.doc_id is None, r.n_chars) for r in got) == [(False, 18), (False, 18), (True, 0), (True, 16)]
 
 
+def test_rows_that_share_an_id_are_spread_over_ranges(spark):
+    rows = [(None, f"text number {i} has no id") for i in range(300)] + [(5, f"text {i} of id five") for i in range(300)]
+    docs = C.documents(spark, rows)
+    plain = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text")
+    sizes = [r["count"] for r in minhash.with_next(plain, parts=10).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 200
+    want = sorted(map(str, minhash.edit_probe(docs, parts=1).collect()))
+    assert sorted(map(str, minhash.edit_probe(docs, parts=10).collect())) == want
+
+
+def test_ranks_of_keys():
+    rng = np.random.default_rng(3)
+    keys = sorted({(int(a), int(b)) for a, b in rng.integers(0, 6, (30, 2))})
+    ids, ties = (np.array(x, np.int64) for x in zip(*keys))
+    rows = [(int(a), int(b)) for a, b in rng.integers(-1, 8, (200, 2))]
+    got = minhash.ranks(ids, ties, *(np.array(x, np.int64) for x in zip(*rows)))
+    assert got.tolist() == [sum(k <= r for k in keys) for r in rows]
+
+
 def test_empty_table(spark):
     assert minhash.edit_probe(C.empty(spark)).collect() == []
     assert minhash.fingerprints(C.empty(spark)).collect() == []
@@ -67,6 +88,34 @@ def test_likeness_has_no_bias():
     assert abs(np.mean(errors)) < 0.012 and np.std(errors) < 0.05
 
 
+def _mix(x):
+    m = (1 << 64) - 1
+    x &= m
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+    return x ^ x >> 31
+
+
+def test_fingerprints_equal_plain_one_permutation_hashing():
+    """Bins, densification and packing once more, bin by bin: an empty bin takes the first filled bin that it looks at."""
+    for text in ("a b c d e f g", "one two", " ".join(f"w{i}" for i in range(90)), " ".join(f"v{i}" for i in range(700))):
+        data, offsets = vec.buffers(pa.array([text]))
+        starts, ends, first = vec.words(data, offsets)
+        hashes, _ = vec.shingles(vec.span_hash(vec.prefix_hash(data), starts, ends), first, minhash.SHINGLE)
+        bins, low = minhash.BINS, {}
+        for h in hashes.tolist():
+            b = h >> 55  # 512 bins
+            low[b] = min(low.get(b, 1 << 64), h & (1 << 55) - 1)
+        values = []
+        for b in range(bins):
+            j, attempt = b, 0
+            while j not in low:
+                j = _mix(b * 0x9E3779B97F4A7C15 + attempt * 0xC2B2AE3D27D4EB4F) % bins
+                attempt += 1
+            values.append(low[j] & 15)
+        assert minhash.fingerprint_texts([text]) == ["".join(f"{v:x}" for v in values)]
+
+
 def test_empty_bins_are_filled_alike():
     a, b = minhash.fingerprint_texts(["x y z"] * 2)
     assert a == b and len(a) == minhash.BINS * minhash.BITS // 4
