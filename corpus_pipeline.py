@@ -4,6 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the
 last return rows with the columns of `documents`; the last returns the pieces
 of the packed sequences. Labels come from `sf_dir`; everything else a stage
 needs it learns from the rows that the stage before it kept.
+
+In every stage a null text reads as empty, an empty table gives an empty table,
+and further columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,31 +19,36 @@ ORACLE_SQL = None
 
 
 def toxicity_stage(spark, docs, sf_dir):
-    """Operator 8: rows that score at or over the threshold go."""
+    """Operator 8: rows that score at or over the threshold go. Judged row by row: repeated rows and null ids fare as
+    their texts do; without labels every row stays."""
     small_batches(spark)
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Operator 1: rows that fail the base rule or the forest go."""
+    """Operator 1: rows that fail the base rule or the forest go. Judged row by row: repeated rows and null ids fare as
+    their texts do; empty texts fail the base rule."""
     small_batches(spark)
     return iforest.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """Operator 10 (4-word shingles, 4 bits): of each class the row with the smallest id stays."""
+    """Operator 10 (4-word shingles, 4 bits): one row of each class stays, that with the smallest id, of equal ids that
+    with the smallest hash of its text, of equal rows one; where a class has no id the hash decides."""
     small_batches(spark)
     return simhash.keep_first(docs, k=4, max_bits=4)
 
 
 def repeated_string_stage(spark, docs, sf_dir):
-    """Operator 5: bytes of strings of 100 bytes that also start earlier go; every row stays."""
+    """Operator 5: bytes of strings of 100 bytes that also start earlier go; every row stays, null texts stay null. Null
+    ids come before all others; rows that repeat an id and a text count as one document."""
     small_batches(spark)
     return suffix.without_repeats(docs)
 
 
 def packing_stage(spark, docs, sf_dir):
-    """Operator 9: pieces of sequences of at most 2048 ids."""
+    """Operator 9: pieces of sequences of at most 2048 ids. Repeated rows and null ids are packed each; an empty text has
+    one piece with the end mark."""
     small_batches(spark)
     return packing.packed(docs)
 
