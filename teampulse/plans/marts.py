@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from teampulse import constants as K
@@ -36,8 +36,24 @@ def score_columns(prs="prs_merged", changes="changes_requested", reviews="review
     ]
 
 
-def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
-    """``combined``: one row per (engineer, repo) present on any side."""
+#: Days that one bitmap of Spark's bitmap functions tells apart.
+BITMAP_DAYS = 32768
+
+
+def _days_in_bitmap(day) -> Column:
+    """The number of different days, by one bitmap of days modulo ``BITMAP_DAYS``; fails where a group's days span more."""
+    spread = F.datediff(F.max(day), F.min(day))
+    n = F.bitmap_count(F.bitmap_construct_agg(F.pmod(F.unix_date(day), F.lit(BITMAP_DAYS))))
+    return F.when(F.coalesce(spread, F.lit(0)) < BITMAP_DAYS, n).otherwise(
+        F.raise_error(F.lit("days of one engineer span more than one bitmap")).cast("long"))
+
+
+def engineer_activity(stg: dict[str, DataFrame], day_bitmaps: bool = False) -> DataFrame:
+    """``combined``: one row per (engineer, repo) present on any side.
+
+    Active days are counted by Spark's distinct aggregate, which exchanges
+    (engineer, repo, day) first, or with ``day_bitmaps`` by a bitmap of days
+    for each group, which takes one exchange and a sort aggregate."""
     u = stack_sides({
         "c": stg["commits"].select(*GRAIN, F.col("commit_date").alias("day")),
         "p": stg["pull_requests"].select(*GRAIN, F.col("total_discussion").alias("num")),
@@ -49,7 +65,7 @@ def engineer_activity(stg: dict[str, DataFrame]) -> DataFrame:
     zero = F.lit(0).cast("long")
     return u.groupBy(*GRAIN).agg(
         F.count(on_side("c")).alias("commits"),
-        F.countDistinct(F.col("day")).alias("active_days"),
+        (_days_in_bitmap(F.col("day")) if day_bitmaps else F.countDistinct(F.col("day"))).alias("active_days"),
         F.count(on_side("p")).alias("prs_merged"),
         F.coalesce(F.avg(on_side("p", F.col("num"))), F.lit(0.0)).alias("avg_discussion_per_pr"),
         F.count(on_side("r")).alias("reviews"),
@@ -83,12 +99,20 @@ def impact_columns(ranked: DataFrame, as_of: dt.datetime, title_count: int = K.R
         *(["recent_pr_titles"] if title_count else []))
 
 
-def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime,
-                        floor: int = K.MART_ACTIVITY_FLOOR, title_count: int = K.RECENT_TITLES) -> DataFrame:
+def ranked_in_repo(scored: DataFrame, at_once: bool = False) -> DataFrame:
+    """``impact_rank`` within each repo: by the histogram of scores, as part of
+    the plan, or ``at_once`` by ``positions``, which runs a job and joins on no
+    score, for builds that write the mart anyway."""
+    if at_once:
+        return positions(scored, ["repo"], "impact_score", [F.col("engineer_login").asc()], rank="impact_rank")
+    return rank_desc(scored, ["repo"], "impact_score", "impact_rank", spread=GRAIN)
+
+
+def fct_engineer_impact(stg: dict[str, DataFrame], as_of: dt.datetime, floor: int = K.MART_ACTIVITY_FLOOR,
+                        title_count: int = K.RECENT_TITLES, at_once: bool = False) -> DataFrame:
     """``recent_pr_titles`` holds the newest ``title_count`` titles per
     engineer and repo (0: no such column); the full list is ``pr_titles``."""
-    ranked = rank_desc(scored_activity(stg, floor, title_count), ["repo"], "impact_score", "impact_rank", spread=GRAIN)
-    return impact_columns(ranked, as_of, title_count)
+    return impact_columns(ranked_in_repo(scored_activity(stg, floor, title_count), at_once), as_of, title_count)
 
 
 def fct_engineer_weekly_trends(stg: dict[str, DataFrame]) -> DataFrame:

@@ -21,7 +21,6 @@ from pyspark.sql.types import StructType
 
 from teampulse import constants as K
 from teampulse.functions import login_key
-from teampulse.operators.ranking import rank_desc
 from teampulse.plans import marts, staging
 from teampulse.session import scratch_path
 from teampulse.sources import raw as R
@@ -52,8 +51,8 @@ def refreshed_impact(stg: dict[str, DataFrame], mart: DataFrame, groups: DataFra
     anew = marts.scored_activity(_of(stg, groups), floor, title_count)
     repos = groups.select("repo").distinct()
     same = mart.join(groups, GRAIN, "left_anti")
-    ranked = rank_desc(same.join(repos, "repo", "left_semi").drop("impact_rank", "computed_at").unionByName(anew),
-                       ["repo"], "impact_score", "impact_rank", spread=GRAIN)
+    ranked = marts.ranked_in_repo(
+        same.join(repos, "repo", "left_semi").drop("impact_rank", "computed_at").unionByName(anew), at_once=True)
     rest = same.join(repos, "repo", "left_anti").drop("computed_at")
     return marts.impact_columns(ranked.unionByName(rest), as_of, title_count)
 
@@ -93,7 +92,7 @@ def refresh(spark: SparkSession, raw_paths: dict[str, str], mart_paths: dict[str
         new = {"impact": refreshed_impact(stg, read_mart(spark, mart_paths["impact"]), groups, as_of),
                "weekly": refreshed_weekly(stg, read_mart(spark, mart_paths["weekly"]), groups)}
     else:
-        new = {"impact": marts.fct_engineer_impact(stg, as_of), "weekly": marts.fct_engineer_weekly_trends(stg)}
+        new = {"impact": marts.fct_engineer_impact(stg, as_of, at_once=True), "weekly": marts.fct_engineer_weekly_trends(stg)}
     for name, path in mart_paths.items():
         number = max([int(n) for n in store.texts(spark, f"{path}/_current")], default=-1) + 1
         R.write_mart(new[name], f"{path}/build-{number}", sort_by=SORT[name])

@@ -141,6 +141,21 @@ def test_title_pages_hold_every_title_once_in_order(spark):
     assert [p.titles for p in pages if p.engineer_login == "cold"] == [["t5002", "t5001", "t5000"]]
 
 
+def test_activity_by_day_bitmaps_takes_one_exchange(spark):
+    from teampulse.plans import staging
+
+    stg = staging.staging(_raw(spark, 400))
+    got = marts.engineer_activity(stg, day_bitmaps=True)
+    assert _sorted(got) == _sorted(marts.engineer_activity(stg))
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    far = spark.createDataFrame([("a", "r", dt.date(1900, 1, 1)), ("a", "r", dt.date(2024, 1, 1))], "engineer_login string, repo string, commit_date date")
+    try:
+        marts.engineer_activity({**stg, "commits": far}, day_bitmaps=True).collect()
+        raise AssertionError("days beyond one bitmap must fail")
+    except Exception as e:  # noqa: BLE001
+        assert "span more than one bitmap" in str(e)
+
+
 def test_day_states_merge_to_exact_counts(spark):
     rnd = random.Random(9)
     days = [dt.date(1969, 12, 30), dt.date(1970, 1, 1), dt.date(2059, 9, 18), dt.date(2059, 9, 19), dt.date(2059, 9, 20), dt.date(2200, 1, 1),
