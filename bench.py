@@ -52,8 +52,7 @@ def more(spark, sf_dir):
     """Timed beside the headline, not part of its total."""
     names = ("extract_commits", "extract_merged_prs", "extract_reviews", "extract_closed_issues", "upsert_commits",
              "upsert_pull_requests", "upsert_reviews", "upsert_issues", "fct_engineer_impact_titles", "leaderboard",
-             "leaderboard_full", "leaderboard_positions", "impact_positions", "leaderboard_all_windows", "pr_title_pages",
-             "active_days_merged", "engineer_trends_lookup", "variant_merged_prs", "upsert_commits_bucketed")
+             "leaderboard_full", "leaderboard_positions", "leaderboard_all_windows", "pr_title_pages")
     registered = Q.queries()
     return {name: (lambda f=registered[name]: f(spark, sf_dir)) for name in names}
 
