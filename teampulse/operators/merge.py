@@ -43,24 +43,29 @@ def _columns(cols: Sequence[str], keys: Sequence[str], update_cols: Sequence[str
 
 
 def condensed(incoming: DataFrame, cols: Sequence[str], keys: Sequence[str], update_cols: Sequence[str], *,
-              seq_col: str | Sequence[str] = "_seq", stamp_col: str | None = "extracted_at") -> DataFrame:
+              seq_col: str | Sequence[str] = "_seq", stamp_col: str | None = "extracted_at",
+              partitions: int | None = None) -> DataFrame:
     """One row per key of the batch: the key, ``_first`` (insert-only columns of its first row) and ``_last`` (update
-    columns and stamp of its last row), each a struct, or without any columns absent."""
+    columns and stamp of its last row), each a struct, or without any columns absent. ``partitions``: the checked rows
+    are dealt by key over so many tasks, and the aggregation needs no further exchange."""
     seqs = [seq_col] if isinstance(seq_col, str) else list(seq_col)
     if not seqs or not set(seqs) <= set(incoming.columns):
         raise ValueError(f"incoming batch needs its ordering columns {seqs!r}")
     keys, update_cols = list(keys), list(update_cols)
     insert_cols, stamp = _columns(cols, keys, update_cols, stamp_col)
     order = F.struct(*seqs, F.xxhash64(*[c for c in cols if c in incoming.columns]))
-    present: list[Column] = [
-        F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(incoming.schema[k].dataType)).alias(k)
-        for k in keys]
+    present: dict[str, Column] = {
+        k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(incoming.schema[k].dataType))
+        for k in keys}
     out = []
     if insert_cols:
         out.append(F.min_by(F.struct(*insert_cols), order).alias(FIRST))
     if update_cols + stamp:
         out.append(F.max_by(F.struct(*update_cols, *stamp), order).alias(LAST))
-    return incoming.groupBy(*present).agg(*(out or [F.count(F.lit(1)).alias("_rows")]))
+    checked = incoming.withColumns(present)
+    if partitions:
+        checked = checked.repartition(partitions, *keys)
+    return checked.groupBy(*keys).agg(*(out or [F.count(F.lit(1)).alias("_rows")]))
 
 
 def merged(stored: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str], *,

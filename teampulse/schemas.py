@@ -67,14 +67,8 @@ KEYS = {
 }
 
 # --- landed JSON payloads (fields that are read); dates stay ISO strings ----
-# A count whose key is absent from a document reads 0 (the existence default);
-# an explicit JSON null stays NULL.
-_ABSENT_IS_ZERO = {"CURRENT_DEFAULT": "0", "EXISTS_DEFAULT": "0"}
-
-
-def _counts(*names):
-    return [StructField(n, I, True, _ABSENT_IS_ZERO) for n in names]
-
+#: Counts that read 0 where their key is absent from a document; an explicit JSON null stays NULL.
+ABSENT_IS_ZERO = {"pull_requests": ("review_comments", "comments")}
 
 USER = _struct(("login", S), ("avatar_url", S), ("type", S))
 REVIEW_USER = _struct(("login", S), ("type", S))
@@ -83,10 +77,10 @@ COMMIT_PAYLOAD = _struct(
     ("sha", S), ("author", USER),
     ("commit", _struct(("message", S), ("author", _struct(("date", S))))))
 
-PULL_PAYLOAD = StructType(_struct(
+PULL_PAYLOAD = _struct(
     ("number", I), ("title", S), ("state", S), ("user", USER), ("merged_at", S),
-    ("created_at", S), ("closed_at", S), ("updated_at", S)).fields
-    + _counts("review_comments", "comments"))
+    ("created_at", S), ("closed_at", S), ("updated_at", S),
+    ("review_comments", I), ("comments", I))
 
 REVIEWS_PAYLOAD = _struct(
     ("pr_number", I),

@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from teampulse import schemas
 from teampulse.functions import is_bot, since_second, ts_lit
@@ -36,14 +37,26 @@ def instant(s: Column) -> Column:
     counts; without one it is taken as UTC. NULL if it can't be read (see
     ``unreadable_dates``)."""
     zoned = F.when(s.rlike(r"([Zz]|[+-]\d{2}:?\d{2})\s*$"), s).otherwise(F.concat(s, F.lit("Z")))
-    micros = F.unix_micros(zoned.try_cast("timestamp"))
-    return ts_lit(_EPOCH) + F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(zoned.try_cast("timestamp")), ts_lit(_EPOCH))
 
 
 def _truthy(s: Column) -> Column:
     return s.isNotNull() & (s != "")
 
 
+#: Field of a parse that holds the document if a field of it can't be read as its type.
+_BAD = "_bad_document"
+
+
+def _absent_as_zero(d: Column, value: Column, names: tuple[str, ...]) -> Column:
+    """``d`` with 0 for the counts whose key a readable document does not have. Keys are listed only where a count is
+    NULL; a default in the schema would be worked out anew for each document, at many times the cost of the parse."""
+    for name in names:
+        absent = d[name].isNull() & d[_BAD].isNull() & ~F.array_contains(F.json_object_keys(value), name)
+        d = d.withField(name, F.when(absent, F.lit(0)).otherwise(d[name]))
+    return d.dropFields(_BAD)
+
+
 def parse(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:
     """Parse each document once: (repo, d). The parse stands below a one-row
     generator, which filters and projections above are not pushed through, so
@@ -52,8 +65,13 @@ def parse(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:
         return landed if repo is None else landed.withColumn("repo", F.lit(repo))
     repo_col = F.lit(repo) if repo is not None else F.col("repo")
     order = [F.col("_seq")] if "_seq" in landed.columns else []
-    return landed.select(repo_col.alias("repo"), *order,
-                         F.explode(F.array(F.from_json("value", schemas.PAYLOADS[kind]))).alias("d"))
+    schema, counts = schemas.PAYLOADS[kind], schemas.ABSENT_IS_ZERO.get(kind, ())
+    if not counts:
+        return landed.select(repo_col.alias("repo"), *order, F.explode(F.array(F.from_json("value", schema))).alias("d"))
+    schema = StructType([*schema.fields, StructField(_BAD, StringType())])
+    document = F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD})
+    parsed = landed.select(repo_col.alias("repo"), *order, "value", F.explode(F.array(document)).alias("d"))
+    return parsed.select("repo", *order, _absent_as_zero(F.col("d"), F.col("value"), counts).alias("d"))
 
 
 KINDS = ("commits", "pull_requests", "reviews", "issues")

@@ -190,7 +190,7 @@ def upsert_into(spark: SparkSession, path: str, table: str, incoming: DataFrame,
     old = layout(spark, path) or Layout(-1, buckets, shards, {})
     number = old.number + 1
     seqs = [seq_col] if isinstance(seq_col, str) else [c for c in seq_col if c in incoming.columns]
-    batch = condensed(incoming.repartition(old.buckets, *keys), cols, keys, UPDATE_COLS[table], seq_col=seqs)
+    batch = condensed(incoming, cols, keys, UPDATE_COLS[table], seq_col=seqs, partitions=old.buckets)
     _write(batch.withColumn(SHARD, _shard(keys, old.shards)), f"{path}/delta-{number}", keys, old.buckets)
     touched = _shards_in(spark, f"{path}/delta-{number}")
     if touched:

@@ -3,7 +3,7 @@
 ``parse`` gives the documents that ``extract.parse`` gives (and every ``extract_*`` takes), built field by field with
 ``try_variant_get``. A field is *absent* (no such key), *null* (an explicit JSON null), *mistyped* (there, but not
 readable as its type) or *given*; only VARIANT tells the four apart. A count that is absent reads 0, by that test and
-not by the schema's existence default; a mistyped field reads NULL and is counted, where a schema-driven parse drops it
+not by a list of the document's keys; a mistyped field reads NULL and is counted, where a schema-driven parse drops it
 silently. A line that is no JSON at all is a NULL document and counted as unreadable.
 """
 
@@ -16,8 +16,6 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 from teampulse import schemas
 
 STATES = ("absent", "null", "mistyped", "given")
-#: Counts that read 0 where their key is absent.
-ABSENT_IS_ZERO = {"pull_requests": ("review_comments", "comments")}
 
 
 def documents(landed: DataFrame, repo: str | None = None) -> DataFrame:
@@ -72,7 +70,7 @@ def parse(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:
     docs = documents(landed, repo)
     order = [c for c in docs.columns if c == "_seq"]
     return docs.where(F.col("v").isNotNull()).select(
-        "repo", *order, _value(F.col("v"), schemas.PAYLOADS[kind], ABSENT_IS_ZERO.get(kind, ())).alias("d"))
+        "repo", *order, _value(F.col("v"), schemas.PAYLOADS[kind], schemas.ABSENT_IS_ZERO.get(kind, ())).alias("d"))
 
 
 def field_states(landed: DataFrame, kind: str, repo: str | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def in_landing_order(landed: DataFrame) -> DataFrame:
     rows = landed.select("*", *[F.col(f"_metadata.{c}").alias(f"_{c}") for c in part], place.alias("_place"))
     keys = [f"_{c}" for c in part]
     parts = rows.select(*keys).distinct().withColumn("_part", F.row_number().over(Window.orderBy(*keys)))
-    return (rows.join(parts, keys)
+    return (rows.join(F.broadcast(parts), keys)  # the rows are not exchanged
             .withColumn("_seq", F.col("_part").cast("long") * PART_STRIDE + F.col("_place"))
             .drop(*keys, "_place", "_part"))
 
