@@ -17,8 +17,9 @@ import numpy as np
 from teampulse.llm import vec
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
-#: Pre-tokens held by a worker at most, before it starts anew.
-CACHE_ENTRIES = 1_000_000
+#: Pre-tokens held by a worker, and characters of them, before it drops some: tens of MB, however long it lives.
+CACHE_ENTRIES = 1 << 18
+CACHE_CHARS = 1 << 22
 _MARK = ord("'")
 
 
@@ -76,10 +77,11 @@ def pretoken_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Memory:
     """Ids of pre-tokens by hash. `learn` maps a list of pre-tokens to (all their ids, the number of ids of each).
 
-    A direct-mapped table answers most look-ups for a whole buffer at once; a dict holds every entry. The characters of
-    each entry are kept, and every pre-token is compared with those of the entry it got; one that shares another's hash
-    is held by its text instead. At `CACHE_ENTRIES` entries the memory starts anew. `added`: ids of the tokens that
-    stand for themselves in a text, by their bytes.
+    A direct-mapped table answers most look-ups for a whole buffer at once; sorted arrays hold every entry. The
+    characters of each entry are kept, and every pre-token is compared with those of the entry it got; one that shares
+    another's hash is held by its text instead. Past `CACHE_ENTRIES` entries the older half stays, which has most of the
+    frequent pre-tokens; past twice as many, or `CACHE_CHARS` characters, the memory starts anew. `added`: ids of the
+    tokens that stand for themselves in a text, by their bytes.
     """
 
     SLOTS = 20
@@ -93,7 +95,8 @@ class Memory:
         self.clear()
 
     def clear(self):
-        self.number: dict[int, int] = {}
+        self.hashes = np.zeros(0, np.uint64)  # ascending, and the entry of each
+        self.numbers_of = np.zeros(0, np.int32)
         self.by_text: dict[str, int] = {}
         self.entries = 0
         self.chars = np.zeros(1 << 18, "<u4")
@@ -107,6 +110,16 @@ class Memory:
         self.size = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _forget(self):
+        keep = CACHE_ENTRIES // 2
+        if self.entries > 2 * CACHE_ENTRIES or self.chars_used > CACHE_CHARS:
+            return self.clear()  # arrays grown by one long text go, too
+        self.entries, self.used, self.chars_used = keep, int(self.place[keep]), int(self.char_place[keep])
+        older = self.numbers_of < keep
+        self.hashes, self.numbers_of = self.hashes[older], self.numbers_of[older]
+        self.slot_number[self.slot_number >= keep] = -1
+        self.by_text = {pretoken: i for pretoken, i in self.by_text.items() if i < keep}
+
     def _append(self, pretokens):
         """Numbers of new entries for these pre-tokens."""
         ids, sizes = self.learn(pretokens)
@@ -155,20 +168,24 @@ class Memory:
         return number
 
     def _by_hash(self, h, text, start, stop) -> np.ndarray:
-        if self.entries > CACHE_ENTRIES:
-            self.clear()
+        if self.entries > CACHE_ENTRIES or self.chars_used > CACHE_CHARS:
+            self._forget()
         slot = (h >> np.uint64(64 - self.SLOTS)).astype(np.int64)
         out = self.slot_number[slot]
         other = np.flatnonzero((self.slot_hash[slot] != h) | (out < 0))
         if len(other):
             unique, first, inverse = np.unique(h[other], return_index=True, return_inverse=True)
-            keys = unique.tolist()
-            got = np.fromiter((self.number.get(k, -1) for k in keys), np.int64, len(keys))
+            place = np.searchsorted(self.hashes, unique)
+            got = np.full(len(unique), -1, np.int64)
+            held = np.flatnonzero(place < len(self.hashes))
+            held = held[self.hashes[place[held]] == unique[held]]
+            got[held] = self.numbers_of[place[held]]
             new = np.flatnonzero(got < 0)
             if len(new):
                 at = other[first[new]]
                 got[new] = self._append([text[a:b] for a, b in zip(start[at].tolist(), stop[at].tolist())])
-                self.number.update(zip((keys[i] for i in new.tolist()), got[new].tolist()))
+                self.hashes = np.insert(self.hashes, place[new], unique[new])
+                self.numbers_of = np.insert(self.numbers_of, place[new], got[new])
             out[other] = got[inverse]
             slot = (unique >> np.uint64(64 - self.SLOTS)).astype(np.int64)
             self.slot_hash[slot], self.slot_number[slot] = unique, got

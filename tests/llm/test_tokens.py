@@ -62,6 +62,28 @@ def test_memory_starts_anew_and_survives_slot_collisions(monkeypatch, tiktoken_e
         assert ids.tolist() == tiktoken_encoding.encode_ordinary(text)
 
 
+def test_memory_of_a_worker_stays_small_however_many_pretokens_it_meets():
+    """800,000 short pre-tokens, then 20 million characters of long ones, beside some that every text has."""
+    import tracemalloc
+
+    def learn(pretokens):
+        return np.array([int(p) if len(p) < 10 else len(p) for p in pretokens], "<u4"), np.ones(len(pretokens), np.int64)
+
+    memory = tokens.Memory(learn)
+    tracemalloc.start()
+    try:
+        for k in range(240):
+            own = range(1000 + 20_000 * k, 21_000 + 20_000 * k) if k < 40 else ()
+            long = [str(k) * (100_000 // len(str(k)))] if k >= 40 else []
+            raw = "".join([*(f" {i}" for i in [*range(1000), *own]), *(f" {x}" for x in long)]).encode()
+            ids, begin = tokens.id_arrays(raw, np.array([0, len(raw)]), memory)
+            assert ids.tolist() == [*range(1000), *own, *(len(x) + 1 for x in long)]
+            if k in (39, 239):
+                assert tracemalloc.get_traced_memory()[0] < 80 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_op6_rows(spark, tiktoken_encoding):
     rows = [*C.TEXTS, (None, "x"), (1, "Short text.")]
     got = bpe.encoded(C.documents(spark, rows), with_ids=True).collect()
