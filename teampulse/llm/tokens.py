@@ -18,8 +18,8 @@ from teampulse.llm import vec
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: Pre-tokens held by a worker, and characters of them, before it drops some: tens of MB, however long it lives.
-CACHE_ENTRIES = 1 << 18
-CACHE_CHARS = 1 << 22
+CACHE_ENTRIES = 1 << 17
+CACHE_CHARS = 1 << 21
 _MARK = ord("'")
 
 
@@ -84,7 +84,7 @@ class Memory:
     tokens that stand for themselves in a text, by their bytes.
     """
 
-    SLOTS = 20
+    SLOTS = 18
 
     def __init__(self, learn, added: dict[bytes, int] | None = None):
         import re
